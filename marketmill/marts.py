@@ -42,36 +42,19 @@ class Marts:
         raw: Mapping[str, DataFrame],
         limits: Limits | None = None,
         snapshot: Snapshot | None = None,
+        tables: Mapping[str, DataFrame] | None = None,
     ):
+        """Star tables given here are used as they are, others are built from raw."""
         self.spark = spark
         self.raw = raw
         self.limits = limits or Limits()
         self._snapshot = snapshot
-        self._tables: dict[str, DataFrame] = {}
+        self._tables: dict[str, DataFrame] = dict(tables or {})
         self._lock = threading.RLock()
 
     def plan(self, table: str) -> DataFrame:
         """The lazy build of a star table, straight from the raw tables."""
-        raw = self.raw
-        if table == "dim_customers":
-            return star.dim_customers(raw["raw_customers"])
-        if table == "dim_products":
-            return star.dim_products(raw["raw_products"], raw["raw_category_translation"])
-        if table == "dim_sellers":
-            return star.dim_sellers(raw["raw_sellers"])
-        if table == "dim_date":
-            return star.dim_date(raw["raw_orders"])
-        if table == "fact_order_items":
-            return star.fact_order_items(raw["raw_order_items"])
-        if table == "fact_orders":
-            return star.fact_orders(
-                raw["raw_orders"],
-                raw["raw_customers"],
-                raw["raw_order_payments"],
-                raw["raw_order_reviews"],
-                star.fact_order_items(raw["raw_order_items"]),
-            )
-        raise KeyError(table)
+        return star.BUILDERS[table](self.raw)
 
     def table(self, name: str) -> DataFrame:
         with self._lock:
@@ -103,11 +86,9 @@ class Marts:
 
     def without_month(self, month: str) -> Marts:
         """The same data set with one purchase month never delivered by the orders feed."""
-        gap = Marts(self.spark, self.raw, self.limits, self._snapshot)
-        gap._tables = dict(self.star_tables())
         bought = F.date_format("order_purchase_timestamp", "yyyy-MM")
-        gap._tables["fact_orders"] = self.fact_orders.where(bought != month)
-        return gap
+        kept = {"fact_orders": self.fact_orders.where(bought != month)}
+        return Marts(self.spark, self.raw, self.limits, tables=self.star_tables() | kept)
 
     def dq_report(self) -> DataFrame:
         rules = quality.standard_rules(self.limits.first_year, self.limits.last_year)

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from marketmill.functions import (
+    BUCKET_LABELS,
     day_gap,
     from_minor,
     lateness_bucket,
@@ -303,7 +304,7 @@ def top_categories(
     top: int = 10,
 ) -> DataFrame:
     """A missing translation is a group of its own, under null."""
-    totals = category_totals(fact_order_items, fact_orders, dim_products, "inner")
+    totals = category_totals(fact_order_items, fact_orders, dim_products)
     grand_total = totals.agg(F.sum("gmv_minor")).scalar()
     return (
         totals.select(
@@ -402,26 +403,27 @@ def promise_window_by_bucket(fact_orders: DataFrame) -> DataFrame:
 def state_mix_by_bucket(fact_orders: DataFrame, dim_customers: DataFrame) -> DataFrame:
     """Share of each state inside its lateness bucket.
 
-    Rows are counted per person and bucket before the join, and per state and bucket before
-    the window, so the window sees at most one row per state.
+    The buckets are counted side by side per person, so the one shuffle by person also serves
+    the join; the window sees at most one row per state and bucket.
     """
-    per_person = (
-        with_lateness(fact_orders)
-        .groupBy("customer_sk", lateness_bucket("late_days").alias("bucket"))
-        .agg(F.count("*").alias("orders"))
+    bucket = lateness_bucket("late_days")
+    counts = [
+        F.count_if(bucket == label).alias(f"bucket{i}") for i, label in enumerate(BUCKET_LABELS)
+    ]
+    wide = state_totals(with_lateness(fact_orders), dim_customers, *counts)
+    tall = F.array(
+        *[
+            F.struct(F.lit(label).alias("bucket"), F.col(f"bucket{i}").alias("orders"))
+            for i, label in enumerate(BUCKET_LABELS)
+        ]
     )
     mix = (
-        per_person.join(dim_customers.select("customer_sk", "state"), "customer_sk")
-        .groupBy("bucket", "state")
-        .agg(F.sum("orders").alias("orders"))
+        wide.select("state", F.explode(tall).alias("b"))
+        .select("b.bucket", "state", "b.orders")
+        .where(F.col("orders") > 0)
     )
     in_bucket = F.sum("orders").over(Window.partitionBy("bucket"))
-    return mix.select(
-        "bucket",
-        "state",
-        "orders",
-        percent(F.col("orders"), in_bucket, 1).alias("pct_of_bucket"),
-    )
+    return mix.withColumn("pct_of_bucket", percent(F.col("orders"), in_bucket, 1))
 
 
 def status_share(

@@ -123,13 +123,25 @@ def kpi_orders_per_month(fact_orders: DataFrame) -> DataFrame:
     )
 
 
-def _category_totals(
-    product_level: DataFrame, dim_products: DataFrame, how: str
+def category_totals(
+    fact_order_items: DataFrame,
+    fact_orders: DataFrame,
+    dim_products: DataFrame,
+    missing: str | None = None,
 ) -> DataFrame:
+    """Delivered money per English category.
+
+    With a label for missing ones, lines without a product row or translation are kept under
+    it. Without one, lines need a product row, and a missing translation groups under null.
+    """
     categories = dim_products.select("product_sk", "category_en")
+    category = F.col("category_en")
+    if missing is not None:
+        category = F.coalesce(category, F.lit(missing))
     return (
-        product_level.join(categories, "product_sk", how)
-        .groupBy(F.col("category_en").alias("category"))
+        product_totals(fact_order_items, fact_orders)
+        .join(categories, "product_sk", "inner" if missing is None else "left")
+        .groupBy(category.alias("category"))
         .agg(
             F.sum("gmv_minor").alias("gmv_minor"),
             F.sum("freight_minor").alias("freight_minor"),
@@ -137,17 +149,6 @@ def _category_totals(
     )
 
 
-def category_totals(
-    fact_order_items: DataFrame,
-    fact_orders: DataFrame,
-    dim_products: DataFrame,
-    how: str = "inner",
-) -> DataFrame:
-    return _category_totals(
-        product_totals(fact_order_items, fact_orders), dim_products, how
-    )
-
-
 def kpi_gmv_by_category(
     fact_order_items: DataFrame,
     fact_orders: DataFrame,
@@ -155,10 +156,11 @@ def kpi_gmv_by_category(
     top: int = 12,
 ) -> DataFrame:
     """Products without a row or a translation count as unknown."""
-    totals = category_totals(fact_order_items, fact_orders, dim_products, "left")
+    totals = category_totals(
+        fact_order_items, fact_orders, dim_products, UNKNOWN_CATEGORY
+    )
     return (
-        totals.groupBy(F.coalesce("category", F.lit(UNKNOWN_CATEGORY)).alias("category"))
-        .agg(from_minor(F.sum("gmv_minor")).alias("gmv"))
+        totals.select("category", from_minor("gmv_minor").alias("gmv"))
         .orderBy(F.desc_nulls_last("gmv"), "category")
         .limit(top)
     )
@@ -254,14 +256,12 @@ def top_products(
 def freight_vs_price(
     fact_order_items: DataFrame, fact_orders: DataFrame, dim_products: DataFrame
 ) -> DataFrame:
-    totals = category_totals(fact_order_items, fact_orders, dim_products, "left")
-    return (
-        totals.groupBy(F.coalesce("category", F.lit(UNKNOWN_CATEGORY)).alias("category"))
-        .agg(F.sum("gmv_minor").alias("gmv"), F.sum("freight_minor").alias("freight"))
-        .select(
-            "category",
-            from_minor("gmv").alias("price_total"),
-            from_minor("freight").alias("freight_total"),
-            percent(F.col("freight"), F.col("gmv"), 1).alias("freight_pct_of_price"),
-        )
+    totals = category_totals(
+        fact_order_items, fact_orders, dim_products, UNKNOWN_CATEGORY
+    )
+    return totals.select(
+        "category",
+        from_minor("gmv_minor").alias("price_total"),
+        from_minor("freight_minor").alias("freight_total"),
+        percent(F.col("freight_minor"), F.col("gmv_minor"), 1).alias("freight_pct_of_price"),
     )

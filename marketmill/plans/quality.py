@@ -187,46 +187,65 @@ def _one_scan(df: DataFrame, rules: list[Rule]) -> DataFrame:
     return df.agg(*measures).select(F.inline(F.array(*findings)))
 
 
+def _key_counts(df: DataFrame, columns: tuple[str, ...], count: str, side: str) -> DataFrame:
+    """Rows per key. A hot key collapses on the map side, before the shuffle."""
+    keys = [F.col(c).alias(f"{side}{i}") for i, c in enumerate(columns)]
+    return df.groupBy(*keys).agg(F.count("*").alias(count))
+
+
 def _duplicate_groups(df: DataFrame, rule: UniqueKey) -> DataFrame:
-    groups = df.groupBy(*rule.columns).agg(F.count("*").alias("copies"))
-    counted = groups.agg(F.count_if(F.col("copies") > 1).alias("n"))
+    counted = _key_counts(df, rule.columns, "copies", "p").agg(
+        F.count_if(F.col("copies") > 1).alias("n")
+    )
     return counted.select(F.inline(F.array(_counted(rule, F.col("n")))))
 
 
-def _orphans(child: DataFrame, parent: DataFrame, rule: ForeignKey) -> DataFrame:
-    """Child rows without a parent; a null child key is an orphan.
+def _references(
+    child: DataFrame, parent: DataFrame, rule: ForeignKey, unique: UniqueKey | None
+) -> DataFrame:
+    """Child rows without a parent (a null child key is one), and, where the parent key has
+    a uniqueness rule, its duplicate groups from the same pass.
 
-    Counting per key first collapses a hot key on the map side, and the anti-join reuses the
-    partitioning of that count.
+    Both sides are counted per key first, so the join is one row to one row on the
+    partitioning the counts already have.
     """
-    keys = child.groupBy(*rule.columns).agg(F.count("*").alias("rows"))
-    parent_keys = parent.select(
-        *[F.col(p).alias(f"parent_{c}") for p, c in zip(rule.parent_columns, rule.columns)]
-    )
+    parents = _key_counts(parent, rule.parent_columns, "copies", "p")
+    children = _key_counts(child, rule.columns, "rows", "c")
     match = reduce(
-        Column.__and__, [F.col(c) == F.col(f"parent_{c}") for c in rule.columns]
+        Column.__and__, [F.col(f"p{i}") == F.col(f"c{i}") for i in range(len(rule.columns))]
     )
-    counted = keys.join(parent_keys, match, "left_anti").agg(
-        F.coalesce(F.sum("rows"), F.lit(0).cast("bigint")).alias("n")
+    counted = parents.join(children, match, "right" if unique is None else "full").agg(
+        F.coalesce(
+            F.sum(F.when(F.col("copies").isNull(), F.col("rows"))), F.lit(0).cast("bigint")
+        ).alias("orphans"),
+        F.count_if(F.col("copies") > 1).alias("duplicates"),
     )
-    return counted.select(F.inline(F.array(_counted(rule, F.col("n")))))
+    findings = [_counted(rule, F.col("orphans"))]
+    if unique is not None:
+        findings.append(_counted(unique, F.col("duplicates")))
+    return counted.select(F.inline(F.array(*findings)))
 
 
 def run_rules(tables: Mapping[str, DataFrame], rules: Iterable[Rule]) -> DataFrame:
     """One row per rule: name, passed, flag, violations, detail, critical."""
     rules = list(rules)
     parts: list[DataFrame] = []
-    shared: dict[str, list[Rule]] = {}
+    one_scan: dict[str, list[Rule]] = {}
+    unique = [r for r in rules if isinstance(r, UniqueKey)]
     for rule in rules:
         if isinstance(rule, (RowRule, NewestYear)):
-            shared.setdefault(rule.table, []).append(rule)
-        elif isinstance(rule, UniqueKey):
-            parts.append(_duplicate_groups(tables[rule.table], rule))
+            one_scan.setdefault(rule.table, []).append(rule)
         elif isinstance(rule, ForeignKey):
-            parts.append(_orphans(tables[rule.table], tables[rule.parent], rule))
-        else:
+            # The first reference to a unique key takes that key's check along.
+            key = (rule.parent, rule.parent_columns)
+            shared = next((u for u in unique if (u.table, u.columns) == key), None)
+            if shared is not None:
+                unique.remove(shared)
+            parts.append(_references(tables[rule.table], tables[rule.parent], rule, shared))
+        elif not isinstance(rule, UniqueKey):
             raise TypeError(f"unknown rule type: {type(rule).__name__}")
-    parts += [_one_scan(tables[table], group) for table, group in shared.items()]
+    parts += [_duplicate_groups(tables[rule.table], rule) for rule in unique]
+    parts += [_one_scan(tables[table], group) for table, group in one_scan.items()]
     passed = F.col("violations") == 0
     flag = F.when(passed, "PASS").when(F.col("critical"), "FAIL").otherwise("WARN")
     return reduce(DataFrame.unionByName, parts).select(

@@ -7,7 +7,7 @@ collapses on the map side and the exchange of the rollup also serves the join.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -188,20 +188,35 @@ def fact_orders(
     )
 
 
-def build_star(raw: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
-    """All six tables as lazy DataFrames."""
-    items = fact_order_items(raw["raw_order_items"])
-    return {
-        "dim_customers": dim_customers(raw["raw_customers"]),
-        "dim_products": dim_products(raw["raw_products"], raw["raw_category_translation"]),
-        "dim_sellers": dim_sellers(raw["raw_sellers"]),
-        "dim_date": dim_date(raw["raw_orders"]),
-        "fact_order_items": items,
-        "fact_orders": fact_orders(
-            raw["raw_orders"],
-            raw["raw_customers"],
-            raw["raw_order_payments"],
-            raw["raw_order_reviews"],
-            items,
-        ),
-    }
+def _orders_from(raw: Mapping[str, DataFrame], order_items: DataFrame) -> DataFrame:
+    return fact_orders(
+        raw["raw_orders"],
+        raw["raw_customers"],
+        raw["raw_order_payments"],
+        raw["raw_order_reviews"],
+        order_items,
+    )
+
+
+# How each star table comes from the raw tables.
+BUILDERS: dict[str, Callable[[Mapping[str, DataFrame]], DataFrame]] = {
+    "dim_customers": lambda raw: dim_customers(raw["raw_customers"]),
+    "dim_products": lambda raw: dim_products(
+        raw["raw_products"], raw["raw_category_translation"]
+    ),
+    "dim_sellers": lambda raw: dim_sellers(raw["raw_sellers"]),
+    "dim_date": lambda raw: dim_date(raw["raw_orders"]),
+    "fact_order_items": lambda raw: fact_order_items(raw["raw_order_items"]),
+    "fact_orders": lambda raw: _orders_from(raw, fact_order_items(raw["raw_order_items"])),
+}
+
+
+def build_star(
+    raw: Mapping[str, DataFrame], order_items: DataFrame | None = None
+) -> dict[str, DataFrame]:
+    """All six tables as lazy DataFrames; lines that are already written may be given."""
+    tables = {name: build(raw) for name, build in BUILDERS.items()}
+    if order_items is not None:
+        tables["fact_order_items"] = order_items
+        tables["fact_orders"] = _orders_from(raw, order_items)
+    return tables

@@ -60,6 +60,9 @@ class StandinRaw:
 
     @cached_property
     def raw_customers(self) -> DataFrame:
+        # Laid out by customer_id, as the raw table's own grain. Otherwise the rows would stay
+        # where the join on o_custkey put them, and a person with a third of all orders would
+        # keep one task busy in every later step.
         customer = self.base("customer")
         nation = self.base("nation").select("n_nationkey", "n_name")
         orders = self.base("orders")
@@ -77,6 +80,7 @@ class StandinRaw:
                 ),
                 F.col("n_name").alias("customer_state"),
             )
+            .repartition("customer_id")
         )
 
     @cached_property
