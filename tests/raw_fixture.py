@@ -1,0 +1,144 @@
+"""A hand-made raw extract: every edge the marts must get right, in a dozen orders."""
+
+import csv
+from pathlib import Path
+
+PREFIX = "shop"
+
+CUSTOMERS = [
+    ("customer_id", "customer_unique_id", "customer_zip_code_prefix", "customer_city", "customer_state"),
+    ("c01", "u1", "01409", "sao paulo", "SP"),  # leading zero
+    ("c02", "u2", "01500", "sao paulo", "SP"),  # one person, two ids, two states
+    ("c03", "u2", "20000", "rio", "RJ"),
+    ("c04", "u3", "30000", "belo horizonte", "MG"),  # three ids
+    ("c05", "u3", "30001", "contagem", "MG"),
+    ("c06", "u3", "40000", "salvador", "BA"),
+    ("c07", "u4", "20001", "rio", "RJ"),
+    ("c08", "u5", "01600", "", "SP"),  # city missing
+    ("c09", "u6", "01700", "campinas", "SP"),
+    ("c10", "u7", "01800", "santos", "SP"),
+    ("c11", "u8", "80000", "curitiba", "PR"),
+    ("c12", "u9", "80001", "curitiba", "PR"),
+]
+
+ORDERS = [
+    (
+        "order_id",
+        "customer_id",
+        "order_status",
+        "order_purchase_timestamp",
+        "order_approved_at",
+        "order_delivered_carrier_date",
+        "order_delivered_customer_date",
+        "order_estimated_delivery_date",
+    ),
+    # two minutes over midnight: one calendar day
+    ("o01", "c01", "delivered", "2017-01-05 23:59:00", "2017-01-05 23:59:10", "2017-01-05 23:59:30", "2017-01-06 00:01:00", "2017-01-20 00:00:00"),
+    # on the promised day, after its midnight: late by flag, not by calendar
+    ("o02", "c02", "delivered", "2017-01-10 10:00:00", "2017-01-10 11:00:00", "2017-01-12 10:00:00", "2017-01-20 15:00:00", "2017-01-20 00:00:00"),
+    ("o03", "c03", "delivered", "2017-01-11 09:00:00", "2017-01-11 09:30:00", "2017-01-13 10:00:00", "2017-01-21 09:00:00", "2017-01-20 00:00:00"),  # 1 day
+    ("o04", "c04", "delivered", "2017-01-12 09:00:00", "2017-01-12 09:30:00", "2017-01-14 10:00:00", "2017-01-27 09:00:00", "2017-01-20 00:00:00"),  # 7 days
+    ("o05", "c05", "delivered", "2017-01-13 09:00:00", "2017-01-13 09:30:00", "2017-01-15 10:00:00", "2017-01-28 09:00:00", "2017-01-20 00:00:00"),  # 8 days
+    ("o06", "c06", "delivered", "2017-03-01 09:00:00", "2017-03-01 09:30:00", "2017-03-03 10:00:00", "2017-04-14 09:00:00", "2017-03-15 00:00:00"),  # 30 days
+    ("o07", "c07", "delivered", "2017-03-02 09:00:00", "2017-03-02 09:30:00", "2017-03-04 10:00:00", "2017-04-15 09:00:00", "2017-03-15 00:00:00"),  # 31 days
+    ("o08", "c08", "delivered", "2017-03-03 09:00:00", "2017-03-03 09:30:00", "", "", "2017-03-15 00:00:00"),  # delivered, no date
+    ("o09", "c09", "canceled", "2017-03-04 09:00:00", "", "", "2017-03-10 09:00:00", "2017-03-20 00:00:00"),  # canceled, with date
+    ("o10", "c10", "shipped", "2017-03-05 09:00:00", "2017-03-05 09:30:00", "", "", "2017-03-20 00:00:00"),  # nothing attached
+    ("o11", "c11", "unavailable", "2017-04-01 09:00:00", "", "", "", "2017-04-20 00:00:00"),
+    ("o12", "c12", "delivered", "2017-03-06 09:00:00", "2017-03-06 09:30:00", "2017-03-07 10:00:00", "2017-03-15 00:00:00", "2017-03-15 00:00:00"),  # to the second
+]
+
+ITEMS = [
+    ("order_id", "order_item_id", "product_id", "seller_id", "shipping_limit_date", "price", "freight_value"),
+    ("o01", 1, "p1", "s1", "2017-01-09 00:00:00", "600.00", "10.00"),  # exactly at the clip
+    ("o02", 1, "p1", "s1", "2017-01-14 00:00:00", "300.00", "5.50"),
+    ("o02", 2, "p2", "s2", "2017-01-14 00:00:00", "300.01", "5.00"),  # a cent over the clip
+    ("o03", 1, "p3", "s1", "2017-01-15 00:00:00", "100.10", "1.00"),
+    ("o04", 1, "p2", "s2", "2017-01-16 00:00:00", "50.00", "2.00"),  # tie with o05
+    ("o05", 1, "p4", "s3", "2017-01-17 00:00:00", "50.00", "2.00"),
+    ("o06", 1, "p1", "s1", "2017-03-05 00:00:00", "20.00", "0.00"),
+    ("o07", 1, "p5", "s3", "2017-03-06 00:00:00", "80.50", "9.99"),
+    ("o09", 1, "p1", "s1", "2017-03-08 00:00:00", "99.99", "7.77"),
+    ("o12", 1, "p3", "s2", "2017-03-09 00:00:00", "40.05", "3.33"),
+]
+
+PAYMENTS = [
+    ("order_id", "payment_sequential", "payment_type", "payment_installments", "payment_value"),
+    ("o01", 1, "credit_card", 1, "610.00"),
+    ("o02", 1, "boleto", 1, "100.00"),  # three kinds on one order
+    ("o02", 2, "voucher", 1, "10.51"),
+    ("o02", 3, "credit_card", 1, "500.00"),
+    ("o03", 1, "credit_card", 1, "101.10"),
+    ("o04", 1, "boleto", 1, "52.00"),
+    ("o05", 1, "boleto", 1, "52.00"),
+    ("o06", 1, "credit_card", 1, "20.00"),
+    ("o07", 1, "debit_card", 1, "90.49"),
+    ("o09", 1, "credit_card", 1, "107.76"),
+    ("o12", 1, "credit_card", 1, "43.38"),
+]
+
+REVIEWS = [
+    ("review_id", "order_id", "review_score", "review_comment_message", "review_creation_date", "review_answer_timestamp"),
+    ("r01", "o01", 5, 'line one\nline two, with a "quote"', "2017-01-06 00:00:00", "2017-01-07 08:00:00"),
+    ("r02", "o02", 2, "after it came", "2017-01-22 00:00:00", ""),  # two reviews: 2.5
+    ("r03", "o02", 3, "before it came", "2017-01-19 00:00:00", ""),
+    ("r04", "o03", 1, "", "2017-01-25 00:00:00", ""),
+    ("r05", "o04", 4, "", "2017-01-22 00:00:00", ""),
+    # o05 and o06, the only two orders 8 to 30 days late, have no review
+    ("r06", "o07", 2, "", "2017-03-17 00:00:00", ""),
+    ("r07", "o09", 1, "", "2017-03-11 00:00:00", ""),
+    ("r08", "o12", 5, "", "2017-03-16 00:00:00", ""),
+]
+
+PRODUCTS = [
+    (
+        "product_id",
+        "product_category_name",
+        "product_name_lenght",
+        "product_description_lenght",
+        "product_photos_qty",
+        "product_weight_g",
+        "product_length_cm",
+        "product_height_cm",
+        "product_width_cm",
+    ),
+    ("p1", "beleza", 40, 287, 1, 225, 16, 10, 14),
+    ("p2", "brinquedos", 44, 276, 1, 1000, 30, 18, 20),
+    ("p3", "", "", "", "", 154, 18, 9, 15),  # no category
+    ("p4", "sem_traducao", 27, 261, 1, 371, 26, 4, 26),  # no translation
+    ("p5", "beleza", 37, 402, 4, 625, 20, 17, 13),
+]
+
+SELLERS = [
+    ("seller_id", "seller_zip_code_prefix", "seller_city", "seller_state"),
+    ("s1", "01031", "sao paulo", "SP"),
+    ("s2", "20031", "rio", "RJ"),
+    ("s3", "30031", "belo horizonte", "MG"),
+]
+
+TRANSLATION = [
+    ("product_category_name", "product_category_name_english"),
+    ("beleza", "beauty"),
+    ("brinquedos", "toys"),
+]
+
+FILES = {
+    f"{PREFIX}_customers_dataset.csv": CUSTOMERS,
+    f"{PREFIX}_orders_dataset.csv": ORDERS,
+    f"{PREFIX}_order_items_dataset.csv": ITEMS,
+    f"{PREFIX}_order_payments_dataset.csv": PAYMENTS,
+    f"{PREFIX}_order_reviews_dataset.csv": REVIEWS,
+    f"{PREFIX}_products_dataset.csv": PRODUCTS,
+    f"{PREFIX}_sellers_dataset.csv": SELLERS,
+    "product_category_name_translation.csv": TRANSLATION,
+}
+
+
+def write(folder, **replaced):
+    """Write the extract; ``orders=[...]`` replaces the rows of one file by its stem part."""
+    for name, rows in FILES.items():
+        for part, other in replaced.items():
+            if name == f"{PREFIX}_{part}_dataset.csv" or name.startswith(part):
+                rows = other
+        with open(Path(folder) / name, "w", newline="", encoding="utf-8") as f:
+            csv.writer(f).writerows(rows)
