@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -15,19 +17,26 @@ LANDED_AT = "_landed_at"
 LANDED_FROM = "_landed_from"
 
 
-def list_csv(spark: SparkSession, folder: str) -> DataFrame:
-    """(file_name, n_files, bytes) of the CSV data sets below a folder, from the listing only.
+DATA_SET_NAME = r"/([^/]+\.csv)(/|$)"
 
-    A data set is ``name.csv``, either one file or a folder of part files.
-    """
-    listing = (
+
+def _csv_files(spark: SparkSession, folder: str) -> DataFrame:
+    return (
         spark.read.format("binaryFile")
         .option("pathGlobFilter", "*.csv")
         .option("recursiveFileLookup", True)
         .load(folder)
-        .select("path", "length")
     )
-    name = F.regexp_extract("path", r"/([^/]+\.csv)(/|$)", 1)
+
+
+def list_csv(spark: SparkSession, folder: str) -> DataFrame:
+    """(file_name, n_files, bytes) of the CSV data sets below a folder, from the listing only.
+
+    A data set is ``name.csv``, either one file or a folder of part files. An empty file does
+    not count as found.
+    """
+    listing = _csv_files(spark, folder).select("path", "length")
+    name = F.regexp_extract("path", DATA_SET_NAME, 1)
     return listing.groupBy(name.alias("file_name")).agg(
         F.count("*").alias("n_files"), F.sum("length").alias("bytes")
     )
@@ -145,7 +154,9 @@ def load_all(
     spark: SparkSession, folder: str
 ) -> tuple[dict[str, DataFrame], dict[str, str]]:
     """Every CSV below a folder by stem, and the reason for each that could not be read."""
-    names = sorted(r.file_name for r in list_csv(spark, folder).collect())
+    # The reader's own file list: a scan would leave out empty files, which are to be reported.
+    paths = [unquote(p) for p in _csv_files(spark, folder).inputFiles()]
+    names = sorted({re.search(DATA_SET_NAME, p).group(1) for p in paths})
     if not names:
         raise FileNotFoundError(f"no CSV files in {folder}")
     tables, failed = {}, {}
