@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -74,26 +76,41 @@ def _narrow(
     )
 
 
-def top_share(
-    groups: DataFrame, value: str, tie_break: str, ranks: tuple[int, ...]
-) -> dict[int, Column]:
-    """Sum of ``value`` over the first k groups, for each k, as scalar subqueries.
+def top_with_total(
+    groups: DataFrame, key: str, order: Sequence[Column], top: int, *totals: str
+) -> DataFrame:
+    """The first ``top`` groups in an order, each with the grand totals, from one pass.
 
-    Only max(ranks) rows reach the ranking window: the limit below it is a distributed top-k.
+    The grand total is one more row of the rollup and sorts to the front, so it travels
+    through the same distributed top-k as the groups. The window after it spreads that row
+    over at most ``top`` others. Columns: key, every total, ``all_<total>``, ``n_groups``,
+    ``rank``.
     """
-    order = [F.desc_nulls_last(value), F.asc_nulls_last(tie_break)]
-    ranked = (
-        groups.orderBy(*order)
-        .limit(max(ranks))
-        .withColumn("rank", F.row_number().over(Window.orderBy(*order)))
+    level = F.grouping_id()
+    head = (
+        groups.rollup(key)
+        .agg(
+            *[F.sum(t).alias(t) for t in totals],
+            F.count("*").alias("n_groups"),
+            level.alias("level"),
+        )
+        .orderBy(F.desc("level"), *order)
+        .limit(top + 1)
     )
-    sums = ranked.agg(
-        F.struct(
-            *[
-                F.sum(F.when(F.col("rank") <= k, F.col(value))).alias(f"top{k}")
-                for k in ranks
-            ]
-        ).alias("sums")
+    is_total = F.col("level") == 1
+
+    def everywhere(name: str) -> Column:
+        return F.max(F.when(is_total, F.col(name))).over(Window.partitionBy())
+
+    return (
+        head.select(
+            key,
+            *totals,
+            *[everywhere(t).alias(f"all_{t}") for t in totals],
+            everywhere("n_groups").alias("n_groups"),
+            "level",
+            (F.row_number().over(Window.orderBy(F.desc("level"), *order)) - 1).alias("rank"),
+        )
+        .where(~is_total)
+        .drop("level")
     )
-    found = sums.scalar()
-    return {k: found.getField(f"top{k}") for k in ranks}

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from marketmill.functions import (
@@ -18,7 +18,7 @@ from marketmill.functions import (
     round_half,
 )
 from marketmill.operators.calendar import missing_months, monthly_counts
-from marketmill.operators.selection import exact_median, top_share
+from marketmill.operators.selection import exact_median, top_with_total
 from marketmill.plans.kpis import (
     category_totals,
     person_totals,
@@ -36,12 +36,12 @@ DELIVERY = "order_delivered_customer_date"
 PROMISED = "order_estimated_delivery_date"
 
 
-def _late():
+def _late() -> Column:
     """Late by the timestamp flag; rows without a flag are not counted."""
     return F.count_if(~F.col("delivered_on_time"))
 
 
-def _low_review():
+def _low_review() -> Column:
     return F.count_if(F.col("review_score_avg") <= LOW_REVIEW)
 
 
@@ -304,16 +304,17 @@ def top_categories(
     top: int = 10,
 ) -> DataFrame:
     """A missing translation is a group of its own, under null."""
-    totals = category_totals(fact_order_items, fact_orders, dim_products)
-    grand_total = totals.agg(F.sum("gmv_minor")).scalar()
-    return (
-        totals.select(
-            "category",
-            round_half(from_minor("gmv_minor"), 0).alias("gmv"),
-            percent(from_minor("gmv_minor"), from_minor(grand_total), 2).alias("pct_of_gmv"),
-        )
-        .orderBy(F.desc_nulls_last("gmv"), F.asc_nulls_last("category"))
-        .limit(top)
+    gmv = round_half(from_minor("gmv_minor"), 0)
+    return top_with_total(
+        category_totals(fact_order_items, fact_orders, dim_products),
+        "category",
+        [gmv.desc_nulls_last(), F.asc_nulls_last("category")],
+        top,
+        "gmv_minor",
+    ).select(
+        "category",
+        gmv.alias("gmv"),
+        percent(from_minor("gmv_minor"), from_minor("all_gmv_minor"), 2).alias("pct_of_gmv"),
     )
 
 
@@ -327,27 +328,35 @@ def top10_categories_share(
 
 
 def seller_concentration(fact_order_items: DataFrame) -> DataFrame:
-    """All statuses. Top 10 and top 100 come from a distributed top-k, not a full ranking."""
+    """All statuses. The shares come from a distributed top 100, not from a full ranking."""
     sellers = fact_order_items.groupBy("seller_sk").agg(
         F.sum(minor_units("price")).alias("gmv")
     )
-    tops = top_share(sellers, "gmv", "seller_sk", (10, 100))
-    return sellers.agg(F.count("*").alias("sellers_total"), F.sum("gmv").alias("gmv")).select(
-        "sellers_total",
-        percent(from_minor(tops[10]), from_minor("gmv"), 1).alias("top10_sellers_share"),
-        percent(from_minor(tops[100]), from_minor("gmv"), 1).alias("top100_sellers_share"),
+    order = [F.desc_nulls_last("gmv"), F.asc_nulls_last("seller_sk")]
+    head = top_with_total(sellers, "seller_sk", order, 100, "gmv")
+
+    def share(k: int) -> Column:
+        held = F.sum(F.when(F.col("rank") <= k, F.col("gmv")))
+        return percent(from_minor(held), from_minor(F.max("all_gmv")), 1)
+
+    return head.agg(
+        F.coalesce(F.max("n_groups"), F.lit(0).cast("bigint")).alias("sellers_total"),
+        share(10).alias("top10_sellers_share"),
+        share(100).alias("top100_sellers_share"),
     )
 
 
 def top_states(fact_orders: DataFrame, dim_customers: DataFrame, top: int = 6) -> DataFrame:
-    totals = state_totals(with_status(fact_orders), dim_customers)
-    everything = totals.agg(F.sum("orders")).scalar()
-    return (
-        totals.select(
-            "state", "orders", percent(F.col("orders"), everything, 2).alias("pct_of_orders")
-        )
-        .orderBy(F.desc("orders"), F.asc_nulls_last("state"))
-        .limit(top)
+    return top_with_total(
+        state_totals(with_status(fact_orders), dim_customers),
+        "state",
+        [F.desc("orders"), F.asc_nulls_last("state")],
+        top,
+        "orders",
+    ).select(
+        "state",
+        "orders",
+        percent(F.col("orders"), F.col("all_orders"), 2).alias("pct_of_orders"),
     )
 
 

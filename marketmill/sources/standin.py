@@ -114,18 +114,18 @@ class StandinRaw:
 
     @cached_property
     def raw_order_reviews(self) -> DataFrame:
-        events = self.base("events").select(
-            F.expr("event_id div 2").alias("order_id"),
+        events = self.base("events")
+        orders = self.base("orders").select("o_orderkey", "o_orderdate")
+        joined = events.join(orders, F.expr("event_id div 2") == F.col("o_orderkey"))
+        return joined.select(
+            # The join key again, in other words: named by the key itself, later steps would
+            # build on the join's partitioning, and adaptive execution could not split an
+            # order that holds a third of the reviews.
+            F.shiftright("event_id", 1).alias("order_id"),
             (1 + F.floor("value") % 5).cast("int").alias("review_score"),
-            (F.col("event_id") % 60).alias("lag_days"),
-        )
-        orders = self.base("orders").select(
-            F.col("o_orderkey").alias("order_id"), "o_orderdate"
-        )
-        return events.join(orders, "order_id").select(
-            "order_id",
-            "review_score",
-            _shift("o_orderdate", F.col("lag_days"), F.lit(0)).alias("review_creation_date"),
+            _shift("o_orderdate", F.col("event_id") % 60, F.lit(0)).alias(
+                "review_creation_date"
+            ),
         )
 
     @cached_property

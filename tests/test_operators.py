@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from marketmill.functions import day_gap, from_minor, lateness_bucket, minor_units, round_half
 from marketmill.operators.calendar import missing_months, monthly_counts
 from marketmill.operators.histogram import equal_width_histogram
-from marketmill.operators.selection import exact_median, top_share
+from marketmill.operators.selection import exact_median, top_with_total
 
 
 def money_frame(spark, values):
@@ -61,15 +61,15 @@ def test_histogram_like_numpy(spark, values, bins):
     assert found[-1].bin_to == pytest.approx(edges[-1])
 
 
-def test_top_share_with_ties_and_nulls(spark):
+def test_top_with_total(spark):
     df = spark.createDataFrame(
-        [("a", 5), ("b", 5), ("c", 5), ("d", None), ("e", 9)], "k string, v bigint"
+        [("a", 5), ("b", 5), (None, 5), ("d", None), ("e", 9)], "k string, v bigint"
     )
-    tops = top_share(df, "v", "k", (1, 2, 4))
-    row = df.agg(F.count("*").alias("n")).select(
-        tops[1].alias("one"), tops[2].alias("two"), tops[4].alias("four")
-    )
-    assert row.first().asDict() == {"one": 9, "two": 14, "four": 24}
+    order = [F.desc_nulls_last("v"), F.asc_nulls_last("k")]
+    found = top_with_total(df, "k", order, 4, "v").orderBy("rank").collect()
+    assert [(r.rank, r.k, r.v) for r in found] == [(1, "e", 9), (2, "a", 5), (3, "b", 5), (4, None, 5)]
+    assert {(r.all_v, r.n_groups) for r in found} == {(24, 5)}
+    assert top_with_total(df.where("false"), "k", order, 4, "v").count() == 0
 
 
 def test_money_is_exact_in_any_order(spark):
