@@ -17,7 +17,7 @@ from marketmill.sources.snapshot import Snapshot
 
 # Tables whose build shuffles, and which many queries read. The others are projections of a
 # scan, which Catalyst prunes better than any copy.
-SETTLED = ("dim_customers", "dim_products", "fact_orders")
+SETTLED = ("dim_customers", "dim_products", "fact_orders", "product_totals")
 
 
 @dataclass(frozen=True)
@@ -53,7 +53,9 @@ class Marts:
         self._lock = threading.RLock()
 
     def plan(self, table: str) -> DataFrame:
-        """The lazy build of a star table, straight from the raw tables."""
+        """The lazy build of a table: a star table from raw, product totals from the star."""
+        if table == "product_totals":
+            return kpis.product_totals(self.fact_order_items, self.fact_orders)
         return star.BUILDERS[table](self.raw)
 
     def table(self, name: str) -> DataFrame:
@@ -81,6 +83,10 @@ class Marts:
     def fact_orders(self) -> DataFrame:
         return self.table("fact_orders")
 
+    @property
+    def product_totals(self) -> DataFrame:
+        return self.table("product_totals")
+
     def star_tables(self) -> dict[str, DataFrame]:
         return {name: self.table(name) for name in STAR_COLUMNS}
 
@@ -126,7 +132,7 @@ QUERIES: dict[str, Callable[[Marts], DataFrame]] = {
     "kpi_repeat_customers": lambda m: kpis.kpi_repeat_customers(m.fact_orders),
     "kpi_orders_per_month": lambda m: kpis.kpi_orders_per_month(m.fact_orders),
     "kpi_gmv_by_category": lambda m: kpis.kpi_gmv_by_category(
-        m.fact_order_items, m.fact_orders, m.dim_products
+        m.product_totals, m.dim_products
     ),
     "kpi_status_mix": lambda m: kpis.kpi_status_mix(m.fact_orders),
     "kpi_gmv_by_state": lambda m: kpis.kpi_gmv_by_state(m.fact_orders, m.dim_customers),
@@ -134,9 +140,9 @@ QUERIES: dict[str, Callable[[Marts], DataFrame]] = {
     "preview_orders": lambda m: kpis.preview_orders(m.fact_orders),
     "orders_per_customer": lambda m: kpis.orders_per_customer(m.fact_orders),
     "bi_measures": lambda m: kpis.bi_measures(m.fact_order_items, m.fact_orders),
-    "top_products": lambda m: kpis.top_products(m.fact_order_items, m.fact_orders),
+    "top_products": lambda m: kpis.top_products(m.product_totals),
     "freight_vs_price": lambda m: kpis.freight_vs_price(
-        m.fact_order_items, m.fact_orders, m.dim_products
+        m.product_totals, m.dim_products
     ),
     # insights
     "coverage_bounds": lambda m: insights.coverage_bounds(m.fact_orders),
@@ -169,10 +175,10 @@ QUERIES: dict[str, Callable[[Marts], DataFrame]] = {
         m.fact_orders, m.raw["raw_order_reviews"]
     ),
     "top_categories": lambda m: insights.top_categories(
-        m.fact_order_items, m.fact_orders, m.dim_products
+        m.product_totals, m.dim_products
     ),
     "top10_categories_share": lambda m: insights.top10_categories_share(
-        m.fact_order_items, m.fact_orders, m.dim_products
+        m.product_totals, m.dim_products
     ),
     "seller_concentration": lambda m: insights.seller_concentration(m.fact_order_items),
     "top_states": lambda m: insights.top_states(m.fact_orders, m.dim_customers),

@@ -298,15 +298,12 @@ def review_timing(fact_orders: DataFrame, raw_order_reviews: DataFrame) -> DataF
 
 
 def top_categories(
-    fact_order_items: DataFrame,
-    fact_orders: DataFrame,
-    dim_products: DataFrame,
-    top: int = 10,
+    per_product: DataFrame, dim_products: DataFrame, top: int = 10
 ) -> DataFrame:
     """A missing translation is a group of its own, under null."""
     gmv = round_half(from_minor("gmv_minor"), 0)
     return top_with_total(
-        category_totals(fact_order_items, fact_orders, dim_products),
+        category_totals(per_product, dim_products),
         "category",
         [gmv.desc_nulls_last(), F.asc_nulls_last("category")],
         top,
@@ -318,11 +315,9 @@ def top_categories(
     )
 
 
-def top10_categories_share(
-    fact_order_items: DataFrame, fact_orders: DataFrame, dim_products: DataFrame
-) -> DataFrame:
+def top10_categories_share(per_product: DataFrame, dim_products: DataFrame) -> DataFrame:
     """Sum of the already rounded shares."""
-    return top_categories(fact_order_items, fact_orders, dim_products).agg(
+    return top_categories(per_product, dim_products).agg(
         round_half(F.sum("pct_of_gmv"), 1).alias("top10_categories_share")
     )
 

@@ -32,7 +32,11 @@ def order_lines(
 
 
 def product_totals(fact_order_items: DataFrame, fact_orders: DataFrame) -> DataFrame:
-    """Delivered money per product, one row per product, before any dimension is joined."""
+    """Delivered money per product, one row per product, before any dimension is joined.
+
+    Every product and category report starts from it, so the line-to-order join, the widest
+    of all, runs once where this table is kept.
+    """
     return order_lines(fact_order_items, fact_orders).groupBy("product_sk").agg(
         F.sum(minor_units("price")).alias("gmv_minor"),
         F.sum(minor_units("freight_value")).alias("freight_minor"),
@@ -124,12 +128,9 @@ def kpi_orders_per_month(fact_orders: DataFrame) -> DataFrame:
 
 
 def category_totals(
-    fact_order_items: DataFrame,
-    fact_orders: DataFrame,
-    dim_products: DataFrame,
-    missing: str | None = None,
+    per_product: DataFrame, dim_products: DataFrame, missing: str | None = None
 ) -> DataFrame:
-    """Delivered money per English category.
+    """Delivered money per English category, from product_totals.
 
     With a label for missing ones, lines without a product row or translation are kept under
     it. Without one, lines need a product row, and a missing translation groups under null.
@@ -139,8 +140,7 @@ def category_totals(
     if missing is not None:
         category = F.coalesce(category, F.lit(missing))
     return (
-        product_totals(fact_order_items, fact_orders)
-        .join(categories, "product_sk", "inner" if missing is None else "left")
+        per_product.join(categories, "product_sk", "inner" if missing is None else "left")
         .groupBy(category.alias("category"))
         .agg(
             F.sum("gmv_minor").alias("gmv_minor"),
@@ -150,15 +150,10 @@ def category_totals(
 
 
 def kpi_gmv_by_category(
-    fact_order_items: DataFrame,
-    fact_orders: DataFrame,
-    dim_products: DataFrame,
-    top: int = 12,
+    per_product: DataFrame, dim_products: DataFrame, top: int = 12
 ) -> DataFrame:
     """Products without a row or a translation count as unknown."""
-    totals = category_totals(
-        fact_order_items, fact_orders, dim_products, UNKNOWN_CATEGORY
-    )
+    totals = category_totals(per_product, dim_products, UNKNOWN_CATEGORY)
     return (
         totals.select("category", from_minor("gmv_minor").alias("gmv"))
         .orderBy(F.desc_nulls_last("gmv"), "category")
@@ -242,24 +237,16 @@ def bi_measures(fact_order_items: DataFrame, fact_orders: DataFrame) -> DataFram
     )
 
 
-def top_products(
-    fact_order_items: DataFrame, fact_orders: DataFrame, top: int = 10
-) -> DataFrame:
+def top_products(per_product: DataFrame, top: int = 10) -> DataFrame:
     return (
-        product_totals(fact_order_items, fact_orders)
-        .select("product_sk", from_minor("gmv_minor").alias("gmv"), "n_lines")
+        per_product.select("product_sk", from_minor("gmv_minor").alias("gmv"), "n_lines")
         .orderBy(F.desc_nulls_last("gmv"), F.asc_nulls_last("product_sk"))
         .limit(top)
     )
 
 
-def freight_vs_price(
-    fact_order_items: DataFrame, fact_orders: DataFrame, dim_products: DataFrame
-) -> DataFrame:
-    totals = category_totals(
-        fact_order_items, fact_orders, dim_products, UNKNOWN_CATEGORY
-    )
-    return totals.select(
+def freight_vs_price(per_product: DataFrame, dim_products: DataFrame) -> DataFrame:
+    return category_totals(per_product, dim_products, UNKNOWN_CATEGORY).select(
         "category",
         from_minor("gmv_minor").alias("price_total"),
         from_minor("freight_minor").alias("freight_total"),
