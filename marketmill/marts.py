@@ -7,9 +7,9 @@ from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from marketmill.contracts import RAW_COLUMNS, STAR_COLUMNS
+from marketmill.functions import month_label, month_start
 from marketmill.operators.profile import profile_tables, row_counts
 from marketmill.plans import insights, kpis, lineage, quality, series, star
 from marketmill.sources.raw_files import table_manifest
@@ -92,7 +92,7 @@ class Marts:
 
     def without_month(self, month: str) -> Marts:
         """The same data set with one purchase month never delivered by the orders feed."""
-        bought = F.date_format("order_purchase_timestamp", "yyyy-MM")
+        bought = month_label(month_start("order_purchase_timestamp"))
         kept = {"fact_orders": self.fact_orders.where(bought != month)}
         return Marts(self.spark, self.raw, self.limits, tables=self.star_tables() | kept)
 

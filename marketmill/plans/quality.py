@@ -157,7 +157,7 @@ def _counted(rule: Rule, violations: Column) -> Column:
 
 
 def _stamp_text(c: Column) -> Column:
-    return F.coalesce(F.date_format(c, "yyyy-MM-dd HH:mm:ss"), F.lit("none"))
+    return F.coalesce(c.cast("string"), F.lit("none"))
 
 
 def _freshness(rule: NewestYear, lo: Column, hi: Column) -> Column:
