@@ -152,7 +152,9 @@ def repeat_segments(fact_orders: DataFrame) -> DataFrame:
         persons.groupBy(segment.alias("segment"))
         .agg(
             F.count("*").alias("customers"),
-            round_half(from_minor(F.sum("gmv")) / F.count("gmv"), 2).alias("avg_lifetime_gmv"),
+            round_half(F.try_divide(from_minor(F.sum("gmv")), F.count("gmv")), 2).alias(
+                "avg_lifetime_gmv"
+            ),
             round_half(F.avg(from_minor("gmv") / F.col("orders")), 2).alias("avg_per_order"),
         )
         .orderBy("segment")

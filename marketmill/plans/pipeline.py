@@ -13,6 +13,7 @@ from marketmill.marts import QUERIES, Limits, Marts
 from marketmill.plans import quality
 from marketmill.sinks import publish, reports, star_files
 from marketmill.sources import raw_files
+from marketmill.sources.snapshot import Snapshot
 
 # Report sections by group, all of them registered queries.
 SECTIONS: dict[str, tuple[str, ...]] = {
@@ -116,15 +117,21 @@ def require_published(run: Run) -> Run:
 
 
 def current_marts(
-    spark: SparkSession, lake: str, limits: Limits | None = None
+    spark: SparkSession,
+    lake: str,
+    limits: Limits | None = None,
+    snapshot: Snapshot | None = None,
 ) -> Marts:
-    """Marts over the current published star and the landed raw tables."""
+    """Marts over the current published star and the landed raw tables.
+
+    With a snapshot, the product totals that several reports share are kept as well.
+    """
     version = publish.current_version(spark, lake)
     if version is None:
         raise FileNotFoundError(f"nothing published in {lake}")
     tables = star_files.read_star(spark, publish.version_root(lake, version))
     raw = raw_files.read_landed(spark, f"{lake}/raw")
-    return Marts(spark, raw, limits, tables=tables)
+    return Marts(spark, raw, limits, snapshot, tables)
 
 
 def write_insights(marts: Marts, out: str) -> list[str]:

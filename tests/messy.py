@@ -1,0 +1,116 @@
+"""Random raw tables with everything a feed can get wrong: nulls, repeats, orphans, ties."""
+
+import random
+from datetime import datetime, timedelta
+
+STATUSES = ["delivered"] * 6 + ["shipped", "canceled", "unavailable", None]
+START = datetime(1996, 9, 20)
+
+
+def maybe(rng, value, missing=0.1):
+    return None if rng.random() < missing else value
+
+
+def stamp(rng, base, low, high):
+    return base + timedelta(days=rng.randint(low, high), minutes=rng.randrange(1440))
+
+
+def tables(seed, n=400):
+    """Rows by raw table, in contract column order."""
+    rng = random.Random(seed)
+    people = [f"u{i}" for i in range(n // 3)]
+    # One person holds about a third of all ids.
+    person = lambda: "u0" if rng.random() < 0.33 else rng.choice(people)
+    customers = [
+        (
+            f"c{i:04d}",
+            person(),
+            maybe(rng, f"0{rng.randrange(10000):04d}"),
+            maybe(rng, rng.choice(["a", "b", "c"])),
+            maybe(rng, rng.choice(["S1", "S2", "S3", "S4"])),
+        )
+        for i in range(n)
+    ]
+    orders = []
+    for i in range(n):
+        # Spread over months, one of them left out.
+        bought = stamp(rng, START, 0, 400)
+        while (bought.year, bought.month) == (1997, 2):
+            bought = stamp(rng, START, 0, 400)
+        delivered = maybe(rng, stamp(rng, bought, 0, 70), 0.15)
+        orders.append(
+            (
+                f"o{i:04d}",
+                maybe(rng, f"c{rng.randrange(n + 20):04d}", 0.05),  # some unknown
+                rng.choice(STATUSES),
+                maybe(rng, bought, 0.03),
+                maybe(rng, stamp(rng, bought, 0, 2)),
+                delivered and delivered - timedelta(days=2),
+                delivered,
+                maybe(rng, (bought + timedelta(days=rng.randint(1, 40))).replace(hour=0, minute=0), 0.05),
+            )
+        )
+    # One order holds about a third of all lines, payments and reviews.
+    order = lambda: "o0007" if rng.random() < 0.33 else f"o{rng.randrange(n + 20):04d}"
+    price = lambda: rng.choice([0.0, 10.0, 10.0, 99.99, round(rng.uniform(-5, 500), 2)])
+    items = [
+        (
+            maybe(rng, order(), 0.02),
+            maybe(rng, rng.randint(1, 3), 0.02),
+            maybe(rng, "p1" if rng.random() < 0.33 else f"p{rng.randrange(40)}", 0.05),
+            maybe(rng, "s1" if rng.random() < 0.33 else f"s{rng.randrange(150)}", 0.05),
+            maybe(rng, stamp(rng, START, 0, 400)),
+            maybe(rng, price(), 0.05),
+            maybe(rng, round(rng.uniform(-1, 30), 2), 0.05),
+        )
+        for _ in range(n * 3)
+    ]
+    payments = [
+        (
+            maybe(rng, order(), 0.02),
+            maybe(rng, rng.choice(["boleto", "credit_card", "voucher"])),
+            maybe(rng, price(), 0.05),
+        )
+        for _ in range(n * 2)
+    ]
+    reviews = [
+        (
+            maybe(rng, order(), 0.02),
+            maybe(rng, rng.randint(1, 5), 0.05),
+            maybe(rng, stamp(rng, START, 0, 460), 0.05),
+        )
+        for _ in range(n)
+    ]
+    categories = [None, "beleza", "brinquedos", "casa", "sem_traducao"]
+    products = [
+        (
+            maybe(rng, f"p{i}", 0.05),
+            rng.choice(categories),
+            maybe(rng, rng.randint(1, 60)),
+            maybe(rng, rng.randint(1, 900)),
+            maybe(rng, rng.randint(1, 9)),
+            *[maybe(rng, float(rng.randint(1, 900))) for _ in range(4)],
+        )
+        for i in [*range(30), 3, 4]  # two products twice, ten unknown
+    ]
+    translation = [
+        ("beleza", "beauty"),
+        ("brinquedos", "toys"),
+        ("brinquedos", "games"),  # translated twice
+        ("casa", None),
+        (None, "nothing"),
+    ]
+    sellers = [
+        (f"s{i}", maybe(rng, f"0{i:04d}"), maybe(rng, "x"), maybe(rng, "S1"))
+        for i in [*range(140), 3]
+    ]
+    return {
+        "raw_customers": customers,
+        "raw_orders": orders,
+        "raw_order_items": items,
+        "raw_order_payments": payments,
+        "raw_order_reviews": reviews,
+        "raw_products": products,
+        "raw_sellers": sellers,
+        "raw_category_translation": translation,
+    }
