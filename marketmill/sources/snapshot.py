@@ -38,5 +38,6 @@ class Snapshot:
         if self.root is None:
             return df
         path = f"{self.root}/{name}"
-        df.write.mode("errorifexists").parquet(path)
+        # The root is this snapshot's own, so this only ever replaces a write that failed.
+        df.write.mode("overwrite").parquet(path)
         return self._spark.read.schema(df.schema).parquet(path)

@@ -10,6 +10,7 @@ from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def _shift(base: Column | str, days: Column, hours: Column) -> Column:
@@ -23,9 +24,13 @@ class StandinRaw:
     def __init__(self, spark: SparkSession, folder: str):
         self._spark = spark
         self._folder = folder.rstrip("/")
+        self._schemas: dict[str, T.StructType] = {}
 
     def base(self, name: str) -> DataFrame:
-        return self._spark.read.parquet(f"{self._folder}/{name}.parquet")
+        path = f"{self._folder}/{name}.parquet"
+        if name not in self._schemas:
+            self._schemas[name] = self._spark.read.parquet(path).schema  # one footer job
+        return self._spark.read.schema(self._schemas[name]).parquet(path)
 
     def __getitem__(self, table: str) -> DataFrame:
         return getattr(self, table)
