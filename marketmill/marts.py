@@ -22,7 +22,7 @@ SETTLED = ("dim_customers", "dim_products", "fact_orders", "product_totals")
 
 @dataclass(frozen=True)
 class Limits:
-    """Report thresholds. The defaults are the reference's own."""
+    """Report thresholds, with the published defaults."""
 
     thin_month_min: int = insights.THIN_MONTH_MIN
     state_min_orders: int = insights.STATE_MIN_ORDERS

@@ -26,7 +26,7 @@ from marketmill.plans.kpis import (
     with_status,
 )
 
-# Reference thresholds, all overridable per call.
+# Published thresholds, all overridable per call.
 THIN_MONTH_MIN = 1000
 STATE_MIN_ORDERS = 500
 LOW_REVIEW = 2
@@ -253,7 +253,8 @@ def reviewed_deliveries(fact_orders: DataFrame, raw_order_reviews: DataFrame) ->
     """One row per review of a delivered order, with its day differences.
 
     Narrow columns cross the shuffle; a hot order on the review side is split by adaptive
-    skew-join handling, as the join is inner and directly over both exchanges.
+    skew-join handling, as the join is inner and directly over both exchanges. Reviews come
+    first: a sort-merge join streams its left side and buffers the matches on its right.
     """
     reviews = raw_order_reviews.select(
         "order_id",
@@ -267,7 +268,7 @@ def reviewed_deliveries(fact_orders: DataFrame, raw_order_reviews: DataFrame) ->
         F.col(PROMISED).cast("date").alias("promised_on"),
         F.col(DELIVERY).cast("date").alias("delivered_on"),
     )
-    return orders.join(reviews, "order_id").select(
+    return reviews.join(orders, "order_id").select(
         "late_days",
         "review_score",
         day_gap("promised_on", "reviewed_on").alias("review_vs_promise"),

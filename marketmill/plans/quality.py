@@ -70,6 +70,7 @@ def unique_key(table: str, name: str | None = None) -> UniqueKey:
 
 def standard_rules(first_year: int = 2016, last_year: int = 2019) -> list[Rule]:
     """The twelve critical checks of the publication gate."""
+    # Check names, checked columns and detail texts of the published report.
     return [
         NotNull(
             "fact_orders_required_not_null",

@@ -134,11 +134,11 @@ FILES = {
 }
 
 
-def write(folder, **replaced):
+def write(folder, encoding="utf-8", quoting=csv.QUOTE_MINIMAL, **replaced):
     """Write the extract; ``orders=[...]`` replaces the rows of one file by its stem part."""
     for name, rows in FILES.items():
         for part, other in replaced.items():
             if name == f"{PREFIX}_{part}_dataset.csv" or name.startswith(part):
                 rows = other
-        with open(Path(folder) / name, "w", newline="", encoding="utf-8") as f:
-            csv.writer(f).writerows(rows)
+        with open(Path(folder) / name, "w", newline="", encoding=encoding) as f:
+            csv.writer(f, quoting=quoting).writerows(rows)

@@ -1,5 +1,6 @@
 """Raw files, written stars, publication."""
 
+import csv
 import json
 from pathlib import Path
 
@@ -32,6 +33,21 @@ def test_quoted_line_break_and_leading_zero(spark, raw_folder):
     assert {t for _, t in raw["raw_order_items"].dtypes} == {"string"}
 
 
+@pytest.mark.parametrize(
+    "style", [{"encoding": "utf-8-sig"}, {"quoting": csv.QUOTE_ALL}], ids=["byte order mark", "all quoted"]
+)
+def test_file_style_does_not_matter(spark, raw_folder, tmp_path, style):
+    raw_fixture.write(tmp_path, **style)
+    plain = raw_files.read_raw(spark, raw_folder, PREFIX)
+    styled = raw_files.read_raw(spark, str(tmp_path), PREFIX)
+    for table, df in plain.items():
+        assert styled[table].columns == df.columns
+        assert sorted(map(repr, styled[table].collect())) == sorted(map(repr, df.collect()))
+    tables, failed = raw_files.load_all(spark, str(tmp_path))
+    assert failed == {}
+    assert tables["product_category_name_translation"].columns[0] == "product_category_name"
+
+
 def test_manifest_names_what_is_missing(spark, tmp_path):
     raw_fixture.write(tmp_path)
     (tmp_path / f"{PREFIX}_sellers_dataset.csv").unlink()

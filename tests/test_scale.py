@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as registry
 from marketmill.marts import SETTLED, Marts
-from marketmill.plans import insights, kpis
+from marketmill.plans import insights, kpis, star
 from marketmill.session import PLAN_SETTINGS, shuffle_partitions
 from marketmill.sources.snapshot import Snapshot, shared_folder
 from marketmill.sources.standin import StandinRaw
@@ -94,6 +94,39 @@ def test_hot_review_order_is_split(spark, splitting):
     assert timing.first().orders == 300_000
 
 
+def test_orders_without_customer_are_split(spark, splitting):
+    """A third of all orders without a customer share the null key of the outer join."""
+    stamp = F.expr("timestamp_ntz'2018-01-01 00:00:00'")
+    orders = spark.range(300_000).select(
+        F.concat(F.lit("order-"), F.hash("id")).alias("order_id"),
+        F.when(F.col("id") % 3 > 0, F.col("id")).alias("customer_id"),
+        F.lit("delivered").alias("order_status"),
+        *[
+            stamp.alias(c)
+            for c in (
+                "order_purchase_timestamp",
+                "order_approved_at",
+                "order_delivered_carrier_date",
+                "order_delivered_customer_date",
+                "order_estimated_delivery_date",
+            )
+        ],
+    )
+    customers = spark.range(300_000).select(
+        F.col("id").alias("customer_id"), (F.col("id") % 999).alias("customer_unique_id")
+    )
+    nothing = {
+        "pay": "order_id string, payment_type string, payment_value double",
+        "rev": "order_id string, review_score int",
+        "item": "order_id string, price double, freight_value double",
+    }
+    pay, rev, item = (spark.createDataFrame([], ddl) for ddl in nothing.values())
+    built = star.fact_orders(orders, customers, pay, rev, item)
+    assert "skew=true" in final_plan(built)
+    found = built.agg(F.count("*").alias("n"), F.count("customer_sk").alias("known")).first()
+    assert (found.n, found.known) == (300_000, 200_000)
+
+
 def test_hot_person_collapses_before_the_shuffle(spark, splitting):
     orders = spark.range(300_000).select(
         F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id") % 500).alias("customer_sk")
