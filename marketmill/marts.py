@@ -139,7 +139,7 @@ QUERIES: dict[str, Callable[[Marts], DataFrame]] = {
     "preview_state_gmv": lambda m: kpis.preview_state_gmv(m.fact_orders, m.dim_customers),
     "preview_orders": lambda m: kpis.preview_orders(m.fact_orders),
     "orders_per_customer": lambda m: kpis.orders_per_customer(m.fact_orders),
-    "bi_measures": lambda m: kpis.bi_measures(m.fact_order_items, m.fact_orders),
+    "bi_measures": lambda m: kpis.bi_measures(m.product_totals, m.fact_orders),
     "top_products": lambda m: kpis.top_products(m.product_totals),
     "freight_vs_price": lambda m: kpis.freight_vs_price(
         m.product_totals, m.dim_products

@@ -205,35 +205,27 @@ def orders_per_customer(fact_orders: DataFrame) -> DataFrame:
     )
 
 
-def bi_measures(fact_order_items: DataFrame, fact_orders: DataFrame) -> DataFrame:
+def bi_measures(per_product: DataFrame, fact_orders: DataFrame) -> DataFrame:
     """Dashboard measures: money from the line grain, on-time over every status.
 
-    Each side is first reduced to one row per order, so the join is one to one and its
-    partitioning is the one both aggregates already produced.
+    The money is already summed in product_totals, one row per product; what is left is one
+    pass over the orders with a distinct count on their key.
     """
-    lines = fact_order_items.groupBy("order_id").agg(
-        F.sum(minor_units("price")).alias("line_gmv")
-    )
-    orders = fact_orders.groupBy("order_id").agg(
-        F.max(F.col("order_status") == DELIVERED).alias("delivered"),
-        F.count_if(F.col("delivered_on_time")).alias("on_time"),
-        F.count("delivered_on_time").alias("on_time_n"),
-    )
-    total = orders.join(lines, "order_id", "left").agg(
-        from_minor(F.sum(F.when(F.col("delivered"), F.col("line_gmv")))).alias(
-            "gmv_delivered"
-        ),
-        F.count_if(F.col("delivered") & F.col("order_id").isNotNull()).alias(
-            "orders_delivered"
-        ),
-        F.sum("on_time").alias("on_time"),
-        F.sum("on_time_n").alias("on_time_n"),
-    )
-    return total.select(
-        "gmv_delivered",
-        "orders_delivered",
-        F.try_divide("gmv_delivered", "orders_delivered").alias("aov_delivered"),
-        F.try_divide("on_time", "on_time_n").alias("on_time_rate"),
+    gmv = per_product.agg(from_minor(F.sum("gmv_minor"))).scalar()
+    delivered = F.col("order_status") == DELIVERED
+    return (
+        fact_orders.agg(
+            F.count_distinct(F.when(delivered, F.col("order_id"))).alias("orders_delivered"),
+            F.count_if(F.col("delivered_on_time")).alias("on_time"),
+            F.count("delivered_on_time").alias("on_time_n"),
+        )
+        .withColumn("gmv_delivered", gmv)
+        .select(
+            "gmv_delivered",
+            "orders_delivered",
+            F.try_divide("gmv_delivered", "orders_delivered").alias("aov_delivered"),
+            F.try_divide("on_time", "on_time_n").alias("on_time_rate"),
+        )
     )
 
 
