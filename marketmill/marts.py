@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import threading
 from collections.abc import Callable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -50,7 +51,7 @@ class Marts:
         self.limits = limits or Limits()
         self._snapshot = snapshot
         self._tables: dict[str, DataFrame] = dict(tables or {})
-        self._lock = threading.RLock()
+        self._locks = {name: threading.Lock() for name in (*STAR_COLUMNS, "product_totals")}
 
     def plan(self, table: str) -> DataFrame:
         """The lazy build of a table: a star table from raw, product totals from the star."""
@@ -59,7 +60,7 @@ class Marts:
         return star.BUILDERS[table](self.raw)
 
     def table(self, name: str) -> DataFrame:
-        with self._lock:
+        with self._locks[name]:
             if name not in self._tables:
                 df = self.plan(name)
                 if self._snapshot is not None and name in SETTLED:
@@ -67,6 +68,11 @@ class Marts:
                 self._tables[name] = df
             return self._tables[name]
 
+    def settle(self) -> None:
+        """Build all settled tables now, side by side: one fills the other's idle tail."""
+        with ThreadPoolExecutor(len(SETTLED)) as pool:
+            list(pool.map(self.table, SETTLED))
+
     @property
     def dim_customers(self) -> DataFrame:
         return self.table("dim_customers")
