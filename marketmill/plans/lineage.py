@@ -1,4 +1,4 @@
-"""Facts about a star: row counts per table and the freshness stamp."""
+"""The freshness stamp of a star."""
 
 from __future__ import annotations
 
