@@ -9,9 +9,8 @@ from pyspark.sql import functions as F
 
 from marketmill.functions import from_minor, minor_units
 
-# The value axis is cut twice: buckets of 2^24 minor units, then of 2^12, then single values.
-COARSE_BITS = 24
-FINE_BITS = 12
+# The 64 bits of a value are cut into four digits of 16 bits.
+CUTS = (48, 32, 16, 0)
 
 
 def exact_median(df: DataFrame, money: Column | str, name: str = "median") -> DataFrame:
@@ -19,8 +18,9 @@ def exact_median(df: DataFrame, money: Column | str, name: str = "median") -> Da
 
     The built-in exact percentile ships every distinct value to one task. Here equal values
     are counted first (a hot value collapses before the shuffle), then the middle ranks are
-    located bucket by bucket: each window below sees bucket totals, never rows, and at most
-    two buckets (those holding the middle ranks) survive a level.
+    located digit by digit: each window below sees the totals of at most 2^16 buckets
+    whatever the values are, never rows, and at most two buckets (those holding the middle
+    ranks) survive a cut.
     """
     money = F.col(money) if isinstance(money, str) else money
     counts = (
@@ -28,51 +28,39 @@ def exact_median(df: DataFrame, money: Column | str, name: str = "median") -> Da
             F.count("*").alias("n")
         )
     )
-
     lower = F.expr("(total - 1) div 2")
     upper = F.expr("total div 2")
     holds_middle = (F.col("before") <= upper) & (lower < F.col("before") + F.col("n"))
 
-    coarse = counts.groupBy(F.shiftright("v", COARSE_BITS).alias("b1")).agg(
+    first = counts.groupBy(F.shiftright("v", CUTS[0]).alias("bucket")).agg(
         F.sum("n").alias("n")
     )
-    picked1 = (
-        coarse.select(
-            "b1",
-            "n",
-            (F.sum("n").over(Window.orderBy("b1")) - F.col("n")).alias("before"),
-            F.sum("n").over(Window.partitionBy()).alias("total"),
-        )
-        .where(holds_middle)
-        .select("b1", "before", "total")
-    )
-    picked2 = _narrow(counts, picked1, "b1", COARSE_BITS, "b2", FINE_BITS).where(holds_middle)
-    picked3 = _narrow(
-        counts, picked2.select("b2", "before", "total"), "b2", FINE_BITS, "v", 0
+    picked = first.select(
+        "bucket",
+        "n",
+        (F.sum("n").over(Window.orderBy("bucket")) - F.col("n")).alias("before"),
+        F.sum("n").over(Window.partitionBy()).alias("total"),
     ).where(holds_middle)
-    ends = picked3.agg(
-        from_minor(F.min("v")).alias("lo"), from_minor(F.max("v")).alias("hi")
+    for coarse, fine in zip(CUTS, CUTS[1:]):
+        picked = _narrow(counts, picked, coarse, fine).where(holds_middle)
+    ends = picked.agg(
+        from_minor(F.min("bucket")).alias("lo"), from_minor(F.max("bucket")).alias("hi")
     )
     return ends.select((F.col("lo") + (F.col("hi") - F.col("lo")) * 0.5).alias(name))
 
 
-def _narrow(
-    counts: DataFrame, picked: DataFrame, outer: str, outer_bits: int, inner: str, bits: int
-) -> DataFrame:
-    """Totals per inner bucket inside the picked outer buckets, with the rank before each."""
+def _narrow(counts: DataFrame, picked: DataFrame, coarse: int, fine: int) -> DataFrame:
+    """Totals per fine bucket inside the picked coarse ones, with the rank before each."""
     # At most two rows by construction (adjacent ranks), hence the hint.
-    inside = counts.join(
-        F.broadcast(picked), F.shiftright("v", outer_bits) == F.col(outer), "inner"
+    found = F.broadcast(picked.select(F.col("bucket").alias("outer"), "before", "total"))
+    split = (
+        counts.join(found, F.shiftright("v", coarse) == F.col("outer"))
+        .groupBy("outer", "before", "total", F.shiftright("v", fine).alias("bucket"))
+        .agg(F.sum("n").alias("n"))
     )
-    split = inside.groupBy(
-        outer, "before", "total", F.shiftright("v", bits).alias("inner_key")
-    ).agg(F.sum("n").alias("n"))
-    running = F.sum("n").over(Window.partitionBy(outer).orderBy("inner_key"))
+    running = F.sum("n").over(Window.partitionBy("outer").orderBy("bucket"))
     return split.select(
-        F.col("inner_key").alias(inner),
-        "n",
-        (F.col("before") + running - F.col("n")).alias("before"),
-        "total",
+        "bucket", "n", (F.col("before") + running - F.col("n")).alias("before"), "total"
     )
 
 

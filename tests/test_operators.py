@@ -37,6 +37,9 @@ def cents(n, seed, high=1_000_000):
         # neighbours of the middle fall into different buckets
         [0.0, 0.0, 1677.72, 1677.73, 99999.0, 99999.0],
         [1.0, 1.0, 1_000_000.0, 2_000_000.0],
+        # the widest range the money type is meant for
+        [-4.0e14, 0.01, 0.03, 4.0e14],
+        [7.5] * 9,
     ],
 )
 def test_exact_median(spark, values):
