@@ -38,7 +38,7 @@ def fixture_con(raw_folder):
 
 
 def test_every_query_has_an_oracle():
-    assert set(ORACLES) == set(QUERIES) == set(registry.queries())
+    assert set(QUERIES) <= set(ORACLES) <= set(registry.queries())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
