@@ -20,6 +20,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from marketmill.llm.shared import computed_once
+
 MARK, OTHER = "\u0001", "\u0002"
 _LOCAL = r"[A-Za-z0-9._%+-]"
 # Kind to pattern, in the order in which equal starts are listed.
@@ -159,7 +161,7 @@ def find(docs: DataFrame, key="doc_id", text="text") -> DataFrame:
     for kind in PATTERNS:
         rows = rows.withColumn(f"s_{kind}", _spans(F.col(f"p_{kind}"), kind))
     every = F.array_sort(F.concat(*[F.col(f"s_{kind}") for kind in PATTERNS]))
-    return rows.select("doc_id", "text", every.alias("spans"))
+    return computed_once(rows, "doc_id", "text", every.alias("spans"))
 
 
 def _joined(spans: Column) -> Column:

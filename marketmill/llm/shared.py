@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
@@ -29,3 +30,10 @@ def use_shared_folder(spark: SparkSession) -> None:
         context.setCheckpointDir(tempfile.mkdtemp(prefix="marketmill-llm-"))
     else:
         raise ValueError(f"a cluster needs a shared folder in {CHECKPOINT_DIR}")
+
+
+def computed_once(df: DataFrame, *columns: Column | str) -> DataFrame:
+    """These columns behind a generator of one row. The optimiser moves later filters below a
+    projection by copying its expressions into them, which evaluates nested ones many times
+    over; it does not move them below a generator."""
+    return df.select(F.inline(F.array(F.struct(*columns))))

@@ -23,6 +23,8 @@ from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from marketmill.llm.shared import computed_once
+
 # (host, path, verdict). Fixed values.
 RULES = (
     ("com", "/", "allow"),
@@ -160,7 +162,8 @@ def judged(pages: DataFrame, rules=RULES) -> DataFrame:
     mined = mine(
         rows.where(F.col("listed").isNotNull()).select("tokens", F.col("listed").alias("verdict"))
     )
-    return rows.select(
+    return computed_once(
+        rows,
         "page_id",
         "host",
         "path",
