@@ -4,21 +4,51 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from marketmill.llm import mixing, pii, quality, url_rules
+from marketmill.llm import (
+    licence_scan,
+    mixing,
+    near_dup,
+    nearest,
+    packing,
+    pii,
+    quality,
+    toxicity,
+    url_rules,
+)
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_near_dup(spark: SparkSession, folder: str) -> DataFrame:
+    return near_dup.classes(_table(spark, folder, "documents"))
+
+
 def op2_url_rules(spark: SparkSession, folder: str) -> DataFrame:
     return url_rules.judged(_table(spark, folder, "pages"))
 
 
+def op3_nearest(spark: SparkSession, folder: str) -> DataFrame:
+    return nearest.searched(_table(spark, folder, "embeddings"))
+
+
+def op4_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.judged(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
+
+
+def op5_licences(spark: SparkSession, folder: str) -> DataFrame:
+    return licence_scan.digest(licence_scan.scanned(_table(spark, folder, "documents")))
+
+
 def op6_pii(spark: SparkSession, folder: str) -> DataFrame:
     return pii.digest(pii.find(_table(spark, folder, "documents")))
 
 
+def op8_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.packed(_table(spark, folder, "documents"))
+
+
 def op9_quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality.judged(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
 
@@ -27,5 +57,18 @@ def op10_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mixed(_table(spark, folder, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_url_rules, op6_pii, op9_quality, op10_mixing)}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_near_dup,
+        op2_url_rules,
+        op3_nearest,
+        op4_toxicity,
+        op5_licences,
+        op6_pii,
+        op8_packing,
+        op9_quality,
+        op10_mixing,
+    )
+}
 ORACLES = {"op10_mixing": mixing.ORACLE_SQL}
