@@ -6,11 +6,21 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from marketmill.llm import mixing, pii
+from marketmill.llm import mixing, near_dup, packing, pii, toxicity
 from marketmill.llm.shared import use_shared_folder
 
 
-def personal_data(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+def drop_toxic(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """Drops documents that are more likely toxic than not; fitted on the ``labels`` table."""
+    return toxicity.clean_only(docs, spark.read.parquet(f"{folder}/labels.parquet"))
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """Keeps one document of each class of near-duplicates, the one of the smallest id."""
+    return near_dup.without_copies(docs)
+
+
+def redact_personal_data(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Replaces confirmed personal data in the texts; keeps every document."""
     return pii.redact(docs)
 
@@ -20,7 +30,18 @@ def mix_sources(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     return mixing.apply_mix(docs)
 
 
-STAGES = [("personal_data", personal_data), ("mix_sources", mix_sources)]
+def pack_sequences(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """Packs the tokens of every document taken into sequences; a row per piece."""
+    return packing.packed(docs)
+
+
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("near_duplicates", drop_near_copies),
+    ("personal_data", redact_personal_data),
+    ("mixing", mix_sources),
+    ("packing", pack_sequences),
+]
 
 # Classes are fitted and tokens counted by a vocabulary file: SQL can express neither.
 ORACLE_SQL = None

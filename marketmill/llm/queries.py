@@ -12,6 +12,7 @@ from marketmill.llm import (
     packing,
     pii,
     quality,
+    repeats,
     toxicity,
     url_rules,
 )
@@ -45,6 +46,10 @@ def op6_pii(spark: SparkSession, folder: str) -> DataFrame:
     return pii.digest(pii.find(_table(spark, folder, "documents")))
 
 
+def op7_repeats(spark: SparkSession, folder: str) -> DataFrame:
+    return repeats.digest(repeats.cut(_table(spark, folder, "documents")))
+
+
 def op8_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.packed(_table(spark, folder, "documents"))
 
@@ -66,9 +71,12 @@ QUERIES = {
         op4_toxicity,
         op5_licences,
         op6_pii,
+        op7_repeats,
         op8_packing,
         op9_quality,
         op10_mixing,
     )
 }
-ORACLES = {"op10_mixing": mixing.ORACLE_SQL}
+# What SQL cannot express (fitted models, vocabularies, approximate search, 64-bit hashes of
+# words) is tested against brute force in tests/llm.
+ORACLES = {"op7_repeats": repeats.ORACLE_SQL, "op10_mixing": mixing.ORACLE_SQL}

@@ -1,0 +1,68 @@
+"""Removed repeats against every 50-byte string written out."""
+
+import random
+
+import pytest
+
+from marketmill.llm import repeats
+from tests.llm import brute, fixtures
+from tools.compare import connect, differences
+
+
+def found(df):
+    return sorted(tuple(r) for r in repeats.digest(repeats.cut(df)).collect())
+
+
+def passages():
+    """Texts that share pieces cut at any place, runs of one byte, and short texts."""
+    r = random.Random(1)
+    word = lambda: "".join(r.choice("abcdeéß") for _ in range(r.randint(1, 8)))
+    stock = [" ".join(word() for _ in range(r.randint(5, 60))) for _ in range(12)]
+    texts = []
+    for _ in range(80):
+        parts = []
+        for _ in range(r.randint(1, 5)):
+            if r.random() < 0.5:
+                piece = r.choice(stock)
+                a = r.randint(0, len(piece))
+                parts.append(piece[a : a + r.randint(20, 120)])
+            else:
+                parts.append(" ".join(word() for _ in range(r.randint(1, 30))))
+        texts.append("".join(parts))
+    texts += ["!" * n for n in (10, 49, 50, 51, 400)] + ["ab" * 60, "ba" * 60, "x" + "ab" * 40]
+    return texts + [stock[0]] * 3 + [stock[0] + stock[1], stock[1][:-1], None, ""]
+
+
+@pytest.mark.parametrize("seed", [0, 1])
+def test_repeats_of_passages(spark, seed):
+    texts = passages()
+    random.Random(seed).shuffle(texts)
+    df = fixtures.docs(spark, texts)
+    assert found(df) == brute.repeats(fixtures.pairs(df))
+
+
+@pytest.mark.parametrize("table", [fixtures.docs, fixtures.small])
+def test_repeats(spark, table):
+    df = table(spark)
+    assert found(df) == brute.repeats(fixtures.pairs(df))
+
+
+def test_repeats_equal_sql(spark):
+    df = repeats.digest(repeats.cut(fixtures.small(spark)))
+    problems, n = differences(df, connect(fixtures.SMALL).sql(repeats.ORACLE_SQL))
+    assert problems == [] and n
+
+
+def test_kept_bytes_and_spans(spark):
+    df = fixtures.docs(spark, ["a" * 30 + "b" * 30, "x" + "a" * 30 + "b" * 30 + "y"], repeat=())
+    rows = {r["doc_id"]: r for r in repeats.cut(df).collect()}
+    assert (rows[4]["starts"], rows[4]["ends"], bytes(rows[4]["kept"])) == ([1], [61], b"xy")
+    assert rows[3]["starts"] == [] and len(rows[3]["kept"]) == 60
+
+
+def test_empty_table_and_null_ids(spark):
+    assert repeats.cut(fixtures.empty(spark)).count() == 0
+    rows = [(None, "z" * 60), (1, "z" * 60)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: r["n_removed"] for r in repeats.digest(repeats.cut(df)).collect()}
+    assert got == {None: 60, 1: 0}
