@@ -65,6 +65,9 @@ RAW_COLUMNS: dict[str, dict[str, str]] = {
     },
 }
 
+# Where landing keeps the text of a CSV row with too few or too many fields.
+DAMAGED = "_damaged"
+
 # The published column order and types of the star tables.
 STAR_COLUMNS: dict[str, dict[str, str]] = {
     "dim_customers": {

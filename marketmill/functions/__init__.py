@@ -1,5 +1,7 @@
 from marketmill.functions.columns import (  # noqa: F401
     BUCKET_LABELS,
+    average_of_parts,
+    average_parts,
     bucket_order,
     day_gap,
     from_minor,
@@ -10,4 +12,5 @@ from marketmill.functions.columns import (  # noqa: F401
     month_start,
     percent,
     round_half,
+    stable_average,
 )

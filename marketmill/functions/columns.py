@@ -24,8 +24,13 @@ def _col(c: Column | str) -> Column:
 
 
 def minor_units(c: Column | str) -> Column:
-    """Money as a whole number of ten-thousandths."""
-    return F.rint(_col(c) * F.lit(float(MINOR_PER_UNIT))).cast("bigint")
+    """Money as a whole number of ten-thousandths; an amount that is finer raises an error."""
+    value = _col(c)
+    whole = F.rint(value * F.lit(float(MINOR_PER_UNIT)))
+    # The double nearest to a decimal of four places is what its ten-thousandths divide to.
+    survives = value.isNull() | (whole / F.lit(float(MINOR_PER_UNIT)) == value)
+    finer = F.raise_error(F.concat(F.lit("money finer than four decimals: "), value.cast("string")))
+    return F.when(survives, whole.cast("bigint")).otherwise(finer.cast("bigint"))
 
 
 def from_minor(c: Column | str) -> Column:
@@ -37,6 +42,21 @@ def money_sum(c: Column | str) -> Column:
     return from_minor(F.sum(minor_units(c)))
 
 
+def average_parts(c: Column | str, bits: int = 40) -> Column:
+    """A quotient as a whole number of 2^-bits, so that sums do not depend on their order."""
+    return F.floor(_col(c) * F.lit(float(1 << bits)) + 0.5).cast("decimal(20,0)")
+
+
+def average_of_parts(total: Column | str, n: Column | str, bits: int = 40) -> Column:
+    """The average from a sum of ``average_parts``, null where nothing was summed."""
+    return F.try_divide(_col(total).cast("double") / F.lit(float(1 << bits)), _col(n))
+
+
+def stable_average(c: Column | str, bits: int = 40) -> Column:
+    """Average of a column of quotients, the same for any order and partitioning of the rows."""
+    return average_of_parts(F.sum(average_parts(c, bits)), F.count(_col(c)), bits)
+
+
 def round_half(c: Column | str, digits: int) -> Column:
     """Scale, round half away from zero, scale back: round(1.005, 2) is 1.0, not 1.01."""
     scale = F.lit(float(10**digits))

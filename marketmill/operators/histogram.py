@@ -21,16 +21,28 @@ def equal_width_histogram(df: DataFrame, value: str, bins: int) -> DataFrame:
         )
     ).scalar()
     lo, hi = span.getField("lo"), span.getField("hi")
-    position = F.floor((F.col(value) - lo) / (hi - lo) * F.lit(float(bins)))
+    step = (hi - lo) / F.lit(float(bins))
+
+    def edge(k):
+        """Lower edge of bin k + 1; the one after the last bin is the largest value itself."""
+        return F.when(k >= bins, hi).otherwise(lo + k * step)
+
+    guess = F.floor((F.col(value) - lo) / (hi - lo) * F.lit(float(bins)))
+    guess = F.greatest(F.least(guess, F.lit(bins - 1).cast("bigint")), F.lit(0).cast("bigint"))
+    # The division can miss by one where a value lies on an edge: the edges decide.
+    shift = F.when(F.col(value) < edge(F.col("guess")), -1).when(
+        (F.col(value) >= edge(F.col("guess") + 1)) & (F.col("guess") < bins - 1), 1
+    )
     counts = (
         df.where(F.col(value).isNotNull())
-        .groupBy(F.least(position + 1, F.lit(bins).cast("bigint")).alias("bin"))
+        .withColumn("guess", guess)
+        .groupBy((F.col("guess") + 1 + F.coalesce(shift, F.lit(0))).alias("bin"))
         .agg(F.count("*").alias("n"))
     )
     edges = spark.range(1, bins + 1, numPartitions=1).select(F.col("id").alias("bin"))
     return edges.join(counts, "bin", "left").select(
         "bin",
-        (lo + (hi - lo) * (F.col("bin") - 1) / F.lit(float(bins))).alias("bin_from"),
-        (lo + (hi - lo) * F.col("bin") / F.lit(float(bins))).alias("bin_to"),
+        edge(F.col("bin") - 1).alias("bin_from"),
+        edge(F.col("bin")).alias("bin_to"),
         F.coalesce("n", F.lit(0).cast("bigint")).alias("n"),
     )

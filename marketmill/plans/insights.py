@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from marketmill.functions import (
     BUCKET_LABELS,
+    average_of_parts,
+    average_parts,
     day_gap,
     from_minor,
     lateness_bucket,
@@ -16,6 +18,7 @@ from marketmill.functions import (
     month_label,
     percent,
     round_half,
+    stable_average,
 )
 from marketmill.operators.calendar import missing_months, monthly_counts
 from marketmill.operators.selection import exact_median, top_with_total
@@ -155,7 +158,7 @@ def repeat_segments(fact_orders: DataFrame) -> DataFrame:
             round_half(F.try_divide(from_minor(F.sum("gmv")), F.count("gmv")), 2).alias(
                 "avg_lifetime_gmv"
             ),
-            round_half(F.avg(from_minor("gmv") / F.col("orders")), 2).alias("avg_per_order"),
+            round_half(stable_average(from_minor("gmv") / F.col("orders"), 20), 2).alias("avg_per_order"),
         )
         .orderBy("segment")
     )
@@ -191,7 +194,7 @@ def on_time_vs_late(fact_orders: DataFrame) -> DataFrame:
         rated.groupBy("delivered_on_time")
         .agg(
             F.count("*").alias("orders"),
-            round_half(F.avg("review_score_avg"), 2).alias("avg_review"),
+            round_half(stable_average("review_score_avg"), 2).alias("avg_review"),
             percent(_low_review(), F.count("*"), 1).alias("pct_one_or_two_star"),
         )
         .orderBy("delivered_on_time")
@@ -205,7 +208,7 @@ def lateness_buckets(fact_orders: DataFrame) -> DataFrame:
         .agg(
             F.count("*").alias("orders"),
             F.count_if(F.col("review_score_avg").isNull()).alias("without_review"),
-            round_half(F.avg("review_score_avg"), 2).alias("avg_review"),
+            round_half(stable_average("review_score_avg"), 2).alias("avg_review"),
             percent(_low_review(), F.count("review_score_avg"), 1).alias(
                 "pct_one_or_two_star"
             ),
@@ -221,7 +224,7 @@ def delivery_state_totals(fact_orders: DataFrame, dim_customers: DataFrame) -> D
         F.sum(day_gap(PURCHASED, DELIVERY)).alias("days"),
         F.count(day_gap(PURCHASED, DELIVERY)).alias("days_n"),
         _late().alias("late"),
-        F.sum("review_score_avg").alias("review"),
+        F.sum(average_parts("review_score_avg")).alias("review"),
         F.count("review_score_avg").alias("review_n"),
         F.sum(minor_units("freight_total")).alias("freight"),
         F.sum(minor_units("gmv_items")).alias("gmv"),
@@ -239,7 +242,7 @@ def delivery_by_state(
             "orders",
             round_half(F.try_divide("days", "days_n"), 1).alias("avg_days_to_deliver"),
             percent(F.col("late"), F.col("orders"), 1).alias("pct_late"),
-            round_half(F.try_divide("review", "review_n"), 2).alias("avg_review"),
+            round_half(average_of_parts("review", "review_n"), 2).alias("avg_review"),
             percent(F.col("freight"), F.col("gmv"), 1).alias("freight_pct_of_gmv"),
         )
         .orderBy("avg_days_to_deliver", "state")
@@ -250,7 +253,7 @@ def delivery_by_state(
 
 
 def reviewed_deliveries(fact_orders: DataFrame, raw_order_reviews: DataFrame) -> DataFrame:
-    """One row per review of a delivered order, with its day differences.
+    """One row per review of a delivered order, with the order's dates.
 
     Narrow columns cross the shuffle; a hot order on the review side is split by adaptive
     skew-join handling, as the join is inner and directly over both exchanges. Reviews come
@@ -268,14 +271,7 @@ def reviewed_deliveries(fact_orders: DataFrame, raw_order_reviews: DataFrame) ->
         F.col(PROMISED).cast("date").alias("promised_on"),
         F.col(DELIVERY).cast("date").alias("delivered_on"),
     )
-    return reviews.join(orders, "order_id").select(
-        "late_days",
-        "review_score",
-        day_gap("promised_on", "reviewed_on").alias("review_vs_promise"),
-        day_gap("purchased_on", "reviewed_on").alias("waited_at_review"),
-        day_gap("purchased_on", "delivered_on").alias("waited_total"),
-        day_gap("reviewed_on", "delivered_on").alias("delivery_after_review"),
-    )
+    return reviews.join(orders, "order_id")
 
 
 def review_timing(fact_orders: DataFrame, raw_order_reviews: DataFrame) -> DataFrame:
@@ -285,10 +281,10 @@ def review_timing(fact_orders: DataFrame, raw_order_reviews: DataFrame) -> DataF
         .groupBy(lateness_bucket("late_days").alias("bucket"))
         .agg(
             F.count("*").alias("orders"),
-            round_half(F.avg("review_vs_promise"), 1).alias("avg_days_survey_after_promise"),
-            round_half(F.avg("waited_at_review"), 1).alias("avg_days_waited_when_rated"),
+            round_half(F.avg(day_gap("promised_on", "reviewed_on")), 1).alias("avg_days_survey_after_promise"),
+            round_half(F.avg(day_gap("purchased_on", "reviewed_on")), 1).alias("avg_days_waited_when_rated"),
             percent(
-                F.count_if(F.col("delivery_after_review") > 0), F.count("*"), 1
+                F.count_if(F.col("delivered_on") > F.col("reviewed_on")), F.count("*"), 1
             ).alias("pct_rated_before_delivery"),
             round_half(F.avg("late_days"), 1).alias("avg_final_lateness"),
             round_half(F.avg("review_score"), 2).alias("avg_score"),
@@ -358,6 +354,13 @@ def top_states(fact_orders: DataFrame, dim_customers: DataFrame, top: int = 6) -
     )
 
 
+def top_states_share(fact_orders: DataFrame, dim_customers: DataFrame, top: int = 3) -> DataFrame:
+    """What the largest states hold together, summed from their rounded shares."""
+    return top_states(fact_orders, dim_customers, top).agg(
+        round_half(F.sum("pct_of_orders"), 1).alias(f"top{top}_states_share")
+    )
+
+
 # --- order value ----------------------------------------------------------------------
 
 

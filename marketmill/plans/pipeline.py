@@ -8,13 +8,18 @@ from dataclasses import dataclass
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from marketmill.marts import QUERIES, Limits, Marts
 from marketmill.plans import quality
+from marketmill.plans.kpis import DELIVERED
 from marketmill.sinks import publish, reports, star_files
 from marketmill.sources import raw_files
 from marketmill.sources.snapshot import Snapshot
 
+UTC_STAMP = "yyyy-MM-dd'T'HH:mm:ss'Z'"
+NEED_REVIEWS = ("review_timing", "fig_review_waits")
+
 # Report sections by group, all of them registered queries.
 SECTIONS: dict[str, tuple[str, ...]] = {
     "kpis": (
@@ -46,6 +51,7 @@ SECTIONS: dict[str, tuple[str, ...]] = {
         "top10_categories_share",
         "seller_concentration",
         "top_states",
+        "top3_states_share",
     ),
     "order_value": ("order_value", "payment_mix"),
     "charts": (
@@ -80,32 +86,50 @@ def run_pipeline(
     prefix: str,
     rules: Sequence[quality.Rule] | None = None,
     csv: bool = False,
+    limits: Limits | None = None,
 ) -> Run:
     """Stages in order; each hands over through written tables, and a failure stops the run.
 
-    The audit report is written with the build either way; publication needs zero critical
-    failures.
+    Everything lands below the build's own version, the raw layer too, so that a build that is
+    not published changes nothing readers see. The audit report and the gate's figures are
+    written with the build either way; publication needs zero critical failures.
     """
     stamp = datetime.now(timezone.utc).strftime("%Y%m%dT%H%M%S")
     version = f"{stamp}-{uuid.uuid4().hex[:8]}"
     root = publish.version_root(lake, version)
 
-    raw = raw_files.land_raw(spark, source, prefix, f"{lake}/raw")
+    raw = raw_files.land_raw(spark, source, prefix, f"{root}/raw")
+    # Rows that cannot be read as what they should be end the run before a cast does.
+    reports.write_section(quality.raw_findings(raw), root, "raw_report")
+    intact = spark.read.json(f"{root}/raw_report")
+    if not intact.where("not passed").isEmpty():
+        return Run(version, False, _audit(spark, intact, root), {})
     tables = star_files.write_star(raw, root, csv)
     reports.write_section(star_files.pipeline_metadata(tables), root, "pipeline_metadata")
 
-    checks = quality.standard_rules() if rules is None else rules
-    reports.write_section(
-        reports.stamped(quality.run_rules(tables, checks)), root, "dq_report"
-    )
-    # Read back: the gate judges the report that was written, without a second audit.
-    report = spark.read.json(f"{root}/dq_report")
-    allowed = bool(quality.gate(report).first().publishable)
+    limits = limits or Limits()
+    if rules is None:
+        rules = quality.standard_rules(limits.first_year, limits.last_year)
+        rules += quality.relation_rules()
+    report = _audit(spark, quality.run_rules(tables, rules).unionByName(intact), root)
+    allowed = _publishable(spark, root)
     if allowed:
         publish.publish(spark, lake, version)
     return Run(version, allowed, report, tables)
 
 
+def _audit(spark: SparkSession, findings: DataFrame, root: str) -> DataFrame:
+    """The findings and the gate's figures as written, so that nothing is audited twice."""
+    reports.write_section(reports.stamped(findings), root, "dq_report")
+    report = spark.read.json(f"{root}/dq_report")
+    reports.write_section(reports.stamped(quality.gate(report)), root, "dq_gate")
+    return report
+
+
+def _publishable(spark: SparkSession, root: str) -> bool:
+    return bool(spark.read.json(f"{root}/dq_gate").first().publishable)
+
+
 def require_published(run: Run) -> Run:
     """Raise, naming the failed checks, unless the run was published."""
     if not run.published:
@@ -122,23 +146,44 @@ def current_marts(
     limits: Limits | None = None,
     snapshot: Snapshot | None = None,
 ) -> Marts:
-    """Marts over the current published star and the landed raw tables.
+    """Marts over the current published star and the raw tables it was built from.
 
     With a snapshot, the product totals that several reports share are kept as well.
     """
     version = publish.current_version(spark, lake)
     if version is None:
         raise FileNotFoundError(f"nothing published in {lake}")
-    tables = star_files.read_star(spark, publish.version_root(lake, version))
-    raw = raw_files.read_landed(spark, f"{lake}/raw")
+    root = publish.version_root(lake, version)
+    tables = star_files.read_star(spark, root)
+    raw = raw_files.read_landed(spark, f"{root}/raw")
     return Marts(spark, raw, limits, snapshot, tables)
 
 
-def write_insights(marts: Marts, out: str) -> list[str]:
-    """Every report section as a folder ``<group>/<section>`` of JSON lines."""
-    sections = {
-        f"{group}/{name}": QUERIES[name](marts)
-        for group, names in SECTIONS.items()
-        for name in names
-    }
+def report_header(spark: SparkSession, star_dir: str) -> DataFrame:
+    """When and from which star the report was made, and which orders it counts."""
+    return spark.range(1, numPartitions=1).select(
+        F.date_format(F.to_utc_timestamp(F.current_timestamp(), F.current_timezone()), UTC_STAMP).alias(
+            "generated_at_utc"
+        ),
+        F.lit(star_dir).alias("star_dir"),
+        F.lit(f"order_status = {DELIVERED}").alias("delivered_filter"),
+    )
+
+
+def unavailable(spark: SparkSession, why: str) -> DataFrame:
+    return spark.range(1, numPartitions=1).select(
+        F.lit(False).alias("available"), F.lit(why).alias("reason")
+    )
+
+
+def write_insights(marts: Marts, out: str, star_dir: str = "") -> list[str]:
+    """Every report section as a folder ``<group>/<section>`` of JSON lines, and ``run``, the
+    report's header. Sections that need reviews say so where no reviews are at hand."""
+    sections = {"run": report_header(marts.spark, star_dir)}
+    for group, names in SECTIONS.items():
+        for name in names:
+            lacking = name in NEED_REVIEWS and "raw_order_reviews" not in marts.raw
+            sections[f"{group}/{name}"] = (
+                unavailable(marts.spark, "no raw_order_reviews") if lacking else QUERIES[name](marts)
+            )
     return reports.write_report(sections, out)

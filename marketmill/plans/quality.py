@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marketmill.contracts import STAR_KEYS
+from marketmill.contracts import DAMAGED, RAW_COLUMNS, STAR_KEYS
 
 
 @dataclass(frozen=True)
@@ -247,6 +247,10 @@ def run_rules(tables: Mapping[str, DataFrame], rules: Iterable[Rule]) -> DataFra
             raise TypeError(f"unknown rule type: {type(rule).__name__}")
     parts += [_duplicate_groups(tables[rule.table], rule) for rule in unique]
     parts += [_one_scan(tables[table], group) for table, group in one_scan.items()]
+    return _report(parts)
+
+
+def _report(parts: list[DataFrame]) -> DataFrame:
     passed = F.col("violations") == 0
     flag = F.when(passed, "PASS").when(F.col("critical"), "FAIL").otherwise("WARN")
     return reduce(DataFrame.unionByName, parts).select(
@@ -259,6 +263,29 @@ def run_rules(tables: Mapping[str, DataFrame], rules: Iterable[Rule]) -> DataFra
     )
 
 
+def raw_findings(raw: Mapping[str, DataFrame]) -> DataFrame:
+    """One critical row per raw table: rows that the reader marked as damaged (too few or too
+    many fields) and rows with a value that its column's type cannot take."""
+    parts = []
+    for table, columns in RAW_COLUMNS.items():
+        if table not in raw:
+            continue
+        df = raw[table]
+        found = dict(df.dtypes)
+        broken = [
+            F.col(c).isNotNull() & F.col(c).try_cast(kind).isNull()
+            for c, kind in columns.items()
+            if kind != "string" and found[c] == "string"
+        ]
+        if DAMAGED in found:
+            broken.append(F.col(DAMAGED).isNotNull())
+        rule = Rule(f"{table}_rows_intact", table, (), "damaged or uncastable rows")
+        broken_row = reduce(Column.__or__, broken, F.lit(False))
+        counted = df.agg(F.count_if(broken_row).alias("n"))
+        parts.append(counted.select(F.inline(F.array(_counted(rule, F.col("n"))))))
+    return _report(parts)
+
+
 def gate(report: DataFrame) -> DataFrame:
     """One row: number of checks, failures by weight, and whether publication may go on."""
     failed = ~F.col("passed")

@@ -7,11 +7,13 @@ from pyspark.sql import functions as F
 
 from marketmill.functions import (
     bucket_order,
+    day_gap,
     from_minor,
     lateness_bucket,
     minor_units,
     percent,
     round_half,
+    stable_average,
 )
 from marketmill.operators.histogram import equal_width_histogram
 from marketmill.operators.selection import exact_median
@@ -76,7 +78,7 @@ def fig_lateness_series(fact_orders: DataFrame) -> DataFrame:
         )
         .agg(
             F.count("*").alias("orders"),
-            round_half(F.avg("review_score_avg"), 2).alias("avg_review"),
+            round_half(stable_average("review_score_avg"), 2).alias("avg_review"),
             percent(low, F.count("review_score_avg"), 1).alias("pct_one_or_two_star"),
         )
         .orderBy("bucket_order")
@@ -91,8 +93,8 @@ def fig_review_waits(fact_orders: DataFrame, raw_order_reviews: DataFrame) -> Da
             lateness_bucket("late_days", CHART_LABELS).alias("bucket"),
         )
         .agg(
-            round_half(F.avg("waited_at_review"), 1).alias("days_waited_at_review"),
-            round_half(F.avg("waited_total"), 1).alias("days_waited_in_total"),
+            round_half(F.avg(day_gap("purchased_on", "reviewed_on")), 1).alias("days_waited_at_review"),
+            round_half(F.avg(day_gap("purchased_on", "delivered_on")), 1).alias("days_waited_in_total"),
         )
         .orderBy("bucket_order")
     )

@@ -2,75 +2,52 @@
 
 from __future__ import annotations
 
-import re
-from collections.abc import Mapping
-from urllib.parse import unquote
-
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from marketmill.contracts import RAW_COLUMNS, RAW_FILE_BY_TABLE, RAW_FILES, RawFile
-from marketmill.operators.profile import row_counts
+from marketmill.contracts import DAMAGED, RAW_COLUMNS, RAW_FILE_BY_TABLE, RAW_FILES, RawFile
 
 LANDED_AT = "_landed_at"
 LANDED_FROM = "_landed_from"
 
 
-DATA_SET_NAME = r"/([^/]+\.csv)(/|$)"
-
-
-def _csv_files(spark: SparkSession, folder: str) -> DataFrame:
-    return (
-        spark.read.format("binaryFile")
-        .option("pathGlobFilter", "*.csv")
-        .option("recursiveFileLookup", True)
-        .load(folder)
-    )
-
-
-def list_csv(spark: SparkSession, folder: str) -> DataFrame:
-    """(file_name, n_files, bytes) of the CSV data sets below a folder, from the listing only.
-
-    A data set is ``name.csv``, either one file or a folder of part files. An empty file does
-    not count as found.
-    """
-    listing = _csv_files(spark, folder).select("path", "length")
-    name = F.regexp_extract("path", DATA_SET_NAME, 1)
-    return listing.groupBy(name.alias("file_name")).agg(
-        F.count("*").alias("n_files"), F.sum("length").alias("bytes")
-    )
+def data_sets(spark: SparkSession, folder: str) -> list[tuple[str, int, int]]:
+    """(name, files, bytes) of the CSV data sets in a folder: ``name.csv``, either one file or a
+    folder of part files. Only the folder itself is listed, never the part files one by one."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(path):
+        return []
+    entries = [s.getPath() for s in fs.listStatus(path) if s.getPath().getName().endswith(".csv")]
+    found = []
+    for entry in entries:
+        summary = fs.getContentSummary(entry)
+        found.append((entry.getName(), summary.getFileCount(), summary.getLength()))
+    return sorted(found)
 
 
 def file_manifest(spark: SparkSession, folder: str, prefix: str) -> DataFrame:
-    """Every expected file, whether it is required and whether it was found."""
-    expected = spark.createDataFrame(
-        [(f.table, f.file_name(prefix), f.required) for f in RAW_FILES],
-        "table_name string, file_name string, required boolean",
-    )
-    return expected.join(list_csv(spark, folder), "file_name", "left").select(
-        "table_name",
-        "file_name",
-        "required",
-        F.col("n_files").isNotNull().alias("found"),
-        F.coalesce("n_files", F.lit(0).cast("bigint")).alias("n_files"),
-        F.coalesce("bytes", F.lit(0).cast("bigint")).alias("bytes"),
+    """Every expected file, whether it is required and whether it was found where it is read.
+    An empty file does not count as found."""
+    there = {name: (files, size) for name, files, size in data_sets(spark, folder) if size}
+    rows = []
+    for f in RAW_FILES:
+        name = f.file_name(prefix)
+        files, size = there.get(name, (0, 0))
+        rows.append((f.table, name, f.required, name in there, files, size))
+    return spark.createDataFrame(
+        rows,
+        "table_name string, file_name string, required boolean, found boolean, n_files bigint, "
+        "bytes bigint",
     )
 
 
-def table_manifest(tables: Mapping[str, DataFrame]) -> DataFrame:
-    """The same check over tables already at hand: rows per expected table."""
-    counts = row_counts(tables)
-    spark = counts.sparkSession
-    expected = spark.createDataFrame(
-        [(f.table, f.required) for f in RAW_FILES], "table_name string, required boolean"
-    )
-    return expected.join(counts, "table_name", "left").select(
-        "table_name",
-        "required",
-        F.col("n").isNotNull().alias("found"),
-        F.coalesce("n", F.lit(0).cast("bigint")).alias("n_rows"),
-    )
+def table_manifest(spark: SparkSession, tables) -> DataFrame:
+    """The same check over tables already at hand; no row of them is read."""
+    rows = [(f.table, f.required, f.table in tables) for f in RAW_FILES]
+    return spark.createDataFrame(rows, "table_name string, required boolean, found boolean")
 
 
 def require_files(spark: SparkSession, folder: str, prefix: str) -> None:
@@ -84,15 +61,33 @@ def require_files(spark: SparkSession, folder: str, prefix: str) -> None:
         raise FileNotFoundError(f"missing raw files in {folder}: {', '.join(names)}")
 
 
-def read_csv(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+def read_csv(
+    spark: SparkSession, path: str, multi_line: bool = False, damaged: str | None = None
+) -> DataFrame:
     """All columns as strings, by header. Types are cast by name in the star build: a schema
-    given to the CSV reader is matched by position, and inference drops leading zeros."""
+    given to the CSV reader is matched by position, and inference drops leading zeros.
+
+    With a name for it, a last column holds the text of each row that has too few or too many
+    fields, and null for the others."""
+
+    def reader():
+        return (
+            spark.read.option("header", True)
+            .option("multiLine", multi_line)
+            .option("escape", '"')
+            .option("enforceSchema", False)
+            .option("encoding", "UTF-8")
+        )
+
+    plain = reader().csv(path)
+    if damaged is None:
+        return plain
+    fields = [T.StructField(c, T.StringType()) for c in (*plain.columns, damaged)]
     return (
-        spark.read.option("header", True)
-        .option("multiLine", multi_line)
-        .option("escape", '"')
-        .option("enforceSchema", False)
-        .option("encoding", "UTF-8")
+        reader()
+        .schema(T.StructType(fields))
+        .option("mode", "PERMISSIVE")
+        .option("columnNameOfCorruptRecord", damaged)
         .csv(path)
     )
 
@@ -109,7 +104,7 @@ def read_raw(spark: SparkSession, folder: str, prefix: str) -> dict[str, DataFra
     require_files(spark, folder, prefix)
     return {
         table: _checked(
-            read_csv(spark, f"{folder}/{file.file_name(prefix)}", file.multi_line), file
+            read_csv(spark, f"{folder}/{file.file_name(prefix)}", file.multi_line, DAMAGED), file
         )
         for table, file in RAW_FILE_BY_TABLE.items()
         if table in RAW_COLUMNS
@@ -136,34 +131,52 @@ def land_raw(
     return landed
 
 
+def _landed(spark: SparkSession, target: str) -> dict[str, DataFrame]:
+    """The raw tables that are there."""
+    found = {}
+    for table in RAW_COLUMNS:
+        try:
+            found[table] = spark.read.parquet(f"{target}/{table}")
+        except AnalysisException as reason:
+            if reason.getCondition() != "PATH_NOT_FOUND":
+                raise
+    return found
+
+
 def read_landed(spark: SparkSession, target: str) -> dict[str, DataFrame]:
-    return {t: spark.read.parquet(f"{target}/{t}") for t in RAW_COLUMNS}
+    """The landed raw tables. Reviews may be lacking, which their reports then say; any other
+    missing table is an error."""
+    found = _landed(spark, target)
+    missing = set(RAW_COLUMNS) - set(found) - {"raw_order_reviews"}
+    if missing:
+        raise FileNotFoundError(f"not landed in {target}: {', '.join(sorted(missing))}")
+    return found
 
 
 def load_raw_or_source(
     spark: SparkSession, landed: str, folder: str, prefix: str
 ) -> dict[str, DataFrame]:
-    """The landed tables if landing has run, the source files otherwise."""
-    try:
-        return read_landed(spark, landed)
-    except AnalysisException:
+    """The landed tables if landing has run, the source files where nothing is landed at all."""
+    if not _landed(spark, landed):
         return read_raw(spark, folder, prefix)
+    return read_landed(spark, landed)
 
 
 def load_all(
     spark: SparkSession, folder: str
 ) -> tuple[dict[str, DataFrame], dict[str, str]]:
-    """Every CSV below a folder by stem, and the reason for each that could not be read."""
-    # The reader's own file list: a scan would leave out empty files, which are to be reported.
-    paths = [unquote(p) for p in _csv_files(spark, folder).inputFiles()]
-    names = sorted({re.search(DATA_SET_NAME, p).group(1) for p in paths})
+    """Every CSV data set of a folder by stem, and the reason for each that could not be read.
+
+    Files that are known to hold no line breaks in their values are split between tasks."""
+    names = [name for name, _, _ in data_sets(spark, folder)]
     if not names:
         raise FileNotFoundError(f"no CSV files in {folder}")
+    plain = [f.pattern.replace("{prefix}", "") for f in RAW_FILES if not f.multi_line]
     tables, failed = {}, {}
     for name in names:
         stem = name.removesuffix(".csv")
         try:
-            df = read_csv(spark, f"{folder}/{name}", multi_line=True)
+            df = read_csv(spark, f"{folder}/{name}", not name.endswith(tuple(plain)))
             if not df.columns:
                 raise ValueError("no header row")
             tables[stem] = df

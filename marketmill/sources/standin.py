@@ -8,11 +8,25 @@ from __future__ import annotations
 
 from functools import cached_property
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+# The base tables of each raw table.
+BASES = {
+    "raw_customers": ("orders", "customer", "nation"),
+    "raw_orders": ("orders", "lineitem"),
+    "raw_order_items": ("lineitem",),
+    "raw_order_payments": ("lineitem",),
+    "raw_order_reviews": ("events", "orders"),
+    "raw_products": ("part",),
+    "raw_sellers": ("supplier", "nation"),
+    "raw_category_translation": ("part",),
+}
+
+
 def _shift(base: Column | str, days: Column, hours: Column) -> Column:
     base = F.col(base) if isinstance(base, str) else base
     return base + F.make_dt_interval(days.cast("int"), hours.cast("int"))
@@ -35,6 +49,19 @@ class StandinRaw:
     def __getitem__(self, table: str) -> DataFrame:
         return getattr(self, table)
 
+    def __contains__(self, table: str) -> bool:
+        """Whether every base table that this raw table comes from is there."""
+        return table in BASES and all(map(self._is_there, BASES[table]))
+
+    def _is_there(self, name: str) -> bool:
+        try:
+            self.base(name)
+        except AnalysisException as reason:
+            if reason.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return False
+        return True
+
     @cached_property
     def raw_orders(self) -> DataFrame:
         last_ship = self.base("lineitem").groupBy("l_orderkey").agg(
@@ -103,18 +130,14 @@ class StandinRaw:
     @cached_property
     def raw_order_payments(self) -> DataFrame:
         kind = F.col("l_linenumber") % 4
-        return (
-            self.base("lineitem")
-            .where(F.col("l_linenumber") <= 4)
-            .select(
-                F.col("l_orderkey").alias("order_id"),
-                F.when(kind == 0, "boleto")
-                .when(kind == 1, "credit_card")
-                .when(kind == 2, "debit_card")
-                .otherwise("voucher")
-                .alias("payment_type"),
-                F.col("l_extendedprice").alias("payment_value"),
-            )
+        return self.base("lineitem").select(
+            F.col("l_orderkey").alias("order_id"),
+            F.when(kind == 0, "boleto")
+            .when(kind == 1, "credit_card")
+            .when(kind == 2, "debit_card")
+            .otherwise("voucher")
+            .alias("payment_type"),
+            F.col("l_extendedprice").alias("payment_value"),
         )
 
     @cached_property

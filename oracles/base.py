@@ -1,6 +1,7 @@
 """Common table expressions: base tables -> raw tables -> star tables.
 
-Money is summed as DECIMAL(18,4), so sums are exact and independent of row order.
+Money is summed as DECIMAL(38,8), finer than any amount, so sums are exact and independent of
+row order.
 """
 
 RAW = """
@@ -45,7 +46,7 @@ raw_order_payments AS (
          CASE l_linenumber % 4 WHEN 0 THEN 'boleto' WHEN 1 THEN 'credit_card'
                                WHEN 2 THEN 'debit_card' ELSE 'voucher' END AS payment_type,
          l_extendedprice AS payment_value
-  FROM lineitem WHERE l_linenumber <= 4
+  FROM lineitem
 ),
 raw_order_reviews AS (
   SELECT o_orderkey AS order_id,
@@ -123,7 +124,7 @@ fact_order_items AS (
 ),
 payments_rollup AS (
   SELECT order_id,
-         CAST(sum(CAST(payment_value AS DECIMAL(18,4))) AS DOUBLE) AS payment_value_total,
+         CAST(sum(CAST(payment_value AS DECIMAL(38,8))) AS DOUBLE) AS payment_value_total,
          count(*) AS n_payment_lines, max(payment_type) AS payment_type_primary
   FROM raw_order_payments GROUP BY order_id
 ),
@@ -134,8 +135,8 @@ reviews_rollup AS (
 ),
 items_rollup AS (
   SELECT order_id,
-         CAST(sum(CAST(price AS DECIMAL(18,4))) AS DOUBLE) AS gmv_items,
-         CAST(sum(CAST(freight_value AS DECIMAL(18,4))) AS DOUBLE) AS freight_total,
+         CAST(sum(CAST(price AS DECIMAL(38,8))) AS DOUBLE) AS gmv_items,
+         CAST(sum(CAST(freight_value AS DECIMAL(38,8))) AS DOUBLE) AS freight_total,
          count(*) AS n_items
   FROM fact_order_items GROUP BY order_id
 ),
@@ -160,13 +161,6 @@ fact_orders AS (
   LEFT JOIN items_rollup i ON i.order_id = o.order_id
 )"""
 
-# The orders feed without one purchase month.
-GAP_ORDERS = """
-gap_orders AS (
-  SELECT * FROM fact_orders
-  WHERE strftime(order_purchase_timestamp, '%Y-%m') <> '1996-11'
-)"""
-
 
 def on_star(body: str, *more: str) -> str:
     """A query over the raw and star tables as common table expressions."""
@@ -176,4 +170,14 @@ def on_star(body: str, *more: str) -> str:
 
 def money(column: str) -> str:
     """Exact sum of a money column, as double."""
-    return f"CAST(sum(CAST({column} AS DECIMAL(18,4))) AS DOUBLE)"
+    return f"CAST(sum(CAST({column} AS DECIMAL(38,8))) AS DOUBLE)"
+
+
+def steady_mean(column: str, bits: int = 40) -> str:
+    """Mean of a column of quotients, each taken as a whole number of 2^-bits, which makes the
+    sum exact; null where there is nothing."""
+    unit = f"{1 << bits}::DOUBLE"
+    return (
+        f"CAST(sum(CAST(floor({column} * {unit} + 0.5::DOUBLE) AS HUGEINT)) AS DOUBLE) / {unit} "
+        f"/ nullif(count({column}), 0)"
+    )

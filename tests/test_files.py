@@ -8,7 +8,7 @@ import pytest
 
 import __spark_entry__ as registry
 from marketmill.contracts import RAW_COLUMNS, RAW_FILE_BY_TABLE, STAR_COLUMNS
-from marketmill.marts import QUERIES, Marts
+from marketmill.marts import QUERIES, Limits, Marts
 from marketmill.operators.profile import preview, profile_tables
 from marketmill.plans import pipeline, quality
 from marketmill.plans.star import build_star
@@ -28,6 +28,10 @@ def json_rows(folder):
     ]
 
 
+def raw_of(run):
+    return f"{publish.version_root(run[0], run[1].version)}/raw"
+
+
 def test_quoted_line_break_and_leading_zero(spark, raw_folder):
     raw = raw_files.read_raw(spark, raw_folder, PREFIX)
     text = raw["raw_order_reviews"].where("review_id = 'r01'").first().review_comment_message
@@ -95,14 +99,14 @@ def test_load_all_needs_a_file(spark, tmp_path):
 
 
 def test_landing_keeps_text_and_origin(spark, fixture_run):
-    landed = raw_files.read_landed(spark, f"{fixture_run[0]}/raw")
+    landed = raw_files.read_landed(spark, raw_of(fixture_run))
     row = landed["raw_orders"].where("order_id = 'o01'").first()
     assert row[raw_files.LANDED_FROM].endswith(f"{PREFIX}_orders_dataset.csv")
     assert row.order_purchase_timestamp == "2017-01-05 23:59:00"
 
 
 def test_landed_or_source(spark, raw_folder, fixture_run, tmp_path):
-    landed = raw_files.load_raw_or_source(spark, f"{fixture_run[0]}/raw", raw_folder, PREFIX)
+    landed = raw_files.load_raw_or_source(spark, raw_of(fixture_run), raw_folder, PREFIX)
     assert raw_files.LANDED_FROM in landed["raw_orders"].columns
     source = raw_files.load_raw_or_source(spark, str(tmp_path / "none"), raw_folder, PREFIX)
     assert raw_files.LANDED_FROM not in source["raw_orders"].columns
@@ -129,7 +133,7 @@ def test_published_star_is_on_contract(spark, fixture_run):
 
 def test_written_star_equals_lazy_star(spark, fixture_run):
     lake, run = fixture_run
-    lazy = build_star(raw_files.read_landed(spark, f"{lake}/raw"))
+    lazy = build_star(raw_files.read_landed(spark, raw_of(fixture_run)))
     for name, df in lazy.items():
         written = run.tables[name]
         assert written.exceptAll(df).count() == 0 and df.exceptAll(written).count() == 0
@@ -150,8 +154,10 @@ def test_metadata_and_report_files(fixture_run):
     assert meta["fact_orders"]["n_orders"] == 12
     assert meta["dim_sellers"]["min_order_purchase_timestamp"] is None
     report = json_rows(f"{root}/dq_report")
-    assert len(report) == 12 and all(r["passed"] for r in report)
+    assert len(report) == 24 and all(r["passed"] for r in report)
     assert all("checked_at" in r for r in report)
+    gate = json_rows(f"{root}/dq_gate")
+    assert [(r["checks"], r["critical_failures"]) for r in gate] == [(24, 0)]
 
 
 def test_bad_build_is_not_published(spark, tmp_path):
@@ -170,6 +176,79 @@ def test_bad_build_is_not_published(spark, tmp_path):
     assert "fact_order_items_non_negative_money" in str(failed.value)
 
 
+def test_rejected_build_changes_no_report(spark, tmp_path):
+    """Other reviews and a line without an order: the published reports stay as they are."""
+    source, lake = tmp_path / "src", str(tmp_path / "lake")
+    source.mkdir()
+    raw_fixture.write(source)
+    good = pipeline.run_pipeline(spark, str(source), lake, PREFIX)
+    limits = Limits(3, 1, 1995, 2001, 600.0, "NATION_7")
+
+    def every_section():
+        marts = pipeline.current_marts(spark, lake, limits)
+        names = [n for group in pipeline.SECTIONS.values() for n in group]
+        return {n: sorted(map(repr, QUERIES[n](marts).collect())) for n in names}
+
+    before = every_section()
+    worst = [raw_fixture.REVIEWS[0], *[(*r[:2], 1, *r[3:]) for r in raw_fixture.REVIEWS[1:]]]
+    bad_items = raw_fixture.ITEMS + [("gone", 1, "p1", "s1", "2017-01-09 00:00:00", "1.00", "0")]
+    raw_fixture.write(source, order_items=bad_items, order_reviews=worst)
+    bad = pipeline.run_pipeline(spark, str(source), lake, PREFIX)
+    assert good.published and not bad.published
+    assert every_section() == before
+
+
+def test_damaged_rows_are_not_published(spark, tmp_path):
+    source, lake = tmp_path / "src", str(tmp_path / "lake")
+    source.mkdir()
+    raw_fixture.write(source)
+    payments = source / f"{PREFIX}_order_payments_dataset.csv"
+    header, first, *rest = payments.read_text().splitlines()
+    cells = first.split(",")
+    value = header.split(",").index("payment_value")
+    wrong = ",".join([*cells[:value], "many", *cells[value + 1 :]])
+    payments.write_text("\n".join([header, ",".join(cells[:2]), first + ",more", wrong, *rest]) + "\n")
+    run = pipeline.run_pipeline(spark, str(source), lake, PREFIX)
+    assert not run.published and publish.current_version(spark, lake) is None
+    with pytest.raises(pipeline.QualityGateFailed) as failed:
+        pipeline.require_published(run)
+    assert str(failed.value) == "raw_order_payments_rows_intact: damaged or uncastable rows: 3"
+
+
+def test_reports_without_reviews_say_so(spark, fixture_marts, tmp_path):
+    raw = {t: df for t, df in fixture_marts.raw.items() if t != "raw_order_reviews"}
+    marts = Marts(spark, raw, fixture_marts.limits, tables=fixture_marts.star_tables())
+    pipeline.write_insights(marts, str(tmp_path))
+    row = json_rows(tmp_path / "review_timing" / "review_timing")[0]
+    assert row == {"available": False, "reason": "no raw_order_reviews"}
+
+
+def test_manifest_looks_where_files_are_read(spark, tmp_path):
+    folder = tmp_path / "parent.csv"
+    (folder / "below").mkdir(parents=True)
+    raw_fixture.write(folder / "below")
+    with pytest.raises(FileNotFoundError, match="orders_dataset"):
+        raw_files.require_files(spark, str(folder), PREFIX)
+    raw_fixture.write(folder)
+    raw_files.require_files(spark, str(folder), PREFIX)
+    assert raw_files.read_raw(spark, str(folder), PREFIX)["raw_orders"].count() == 12
+
+
+def test_half_landed_folder_is_an_error(spark, raw_folder, fixture_run, tmp_path):
+    landed = raw_files.read_landed(spark, raw_of(fixture_run))
+    landed["raw_orders"].write.parquet(str(tmp_path / "raw_orders"))
+    with pytest.raises(FileNotFoundError, match="raw_sellers"):
+        raw_files.load_raw_or_source(spark, str(tmp_path), raw_folder, PREFIX)
+
+
+def test_table_manifest_names_a_missing_table(spark, tmp_path):
+    for base in ("orders", "customer", "nation", "part", "supplier", "events"):
+        spark.read.parquet(f"{SMALL}/{base}.parquet").write.parquet(str(tmp_path / f"{base}.parquet"))
+    rows = raw_files.table_manifest(spark, StandinRaw(spark, str(tmp_path))).collect()
+    lacking = {r.table_name for r in rows if not r.found}
+    assert lacking == {"raw_geolocation", "raw_orders", "raw_order_items", "raw_order_payments"}
+
+
 def test_newest_publication_wins(spark, tmp_path):
     lake = str(tmp_path)
     assert publish.current_version(spark, lake) is None
@@ -206,14 +285,17 @@ def test_views(spark, fixture_run, tmp_path):
     assert counts["fact_orders"] == 12
     assert spark.sql("select count(*) n from fact_order_items").first().n == 10
     root = publish.version_root(lake, run.version)
-    names = star_files.register_found(spark, root, f"{lake}/raw")
+    names = star_files.register_found(spark, root, f"{root}/raw")
     assert set(names) == set(STAR_COLUMNS) | {"raw_orders", "raw_order_items", "raw_customers"}
     assert star_files.register_found(spark, str(tmp_path)) == []
 
 
 def test_insight_report_files(fixture_marts, tmp_path):
-    names = pipeline.write_insights(fixture_marts, str(tmp_path))
-    assert len(names) == sum(len(s) for s in pipeline.SECTIONS.values())
+    names = pipeline.write_insights(fixture_marts, str(tmp_path), "s3a://lake/star")
+    assert len(names) == 1 + sum(len(s) for s in pipeline.SECTIONS.values())
+    header = json_rows(tmp_path / "run")[0]
+    assert header["star_dir"] == "s3a://lake/star" and header["generated_at_utc"].endswith("Z")
+    assert header["delivered_filter"] == "order_status = delivered"
     assert json_rows(tmp_path / "kpis" / "kpi_summary")[0]["gmv_items"] == 1540.66
     months = json_rows(tmp_path / "coverage" / "coverage_monthly")
     assert [m["year_month"] for m in months] == ["2017-01", "2017-03", "2017-04"]
@@ -234,7 +316,7 @@ def test_tables_through_csv_give_the_same_reports(spark, tmp_path):
         "fact_order_items_composite_pk_unique"
     ]
     assert not run.published
-    landed = raw_files.read_landed(spark, f"{lake}/raw")
+    landed = raw_files.read_landed(spark, f"{publish.version_root(lake, run.version)}/raw")
     through_csv = Marts(spark, landed, registry.TEST_LIMITS, tables=run.tables)
     direct = registry.marts_for(spark, SMALL)
     for names in pipeline.SECTIONS.values():

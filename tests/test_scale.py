@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as registry
+from marketmill.functions import money_sum, stable_average
 from marketmill.marts import SETTLED, Marts
 from marketmill.plans import insights, kpis, star
 from marketmill.session import PLAN_SETTINGS, shuffle_partitions
@@ -162,11 +163,36 @@ def test_snapshot_goes_to_the_folder_the_session_names(spark, tmp_path):
     assert kept.count() == 10
 
 
-def test_cluster_without_shared_folder_writes_nothing(spark):
-    snapshot = Snapshot(FakeSession(spark, spark_master="yarn"), "t")
-    assert snapshot.root is None
-    df = spark.range(3)
-    assert snapshot.settle("numbers", df) is df
+def test_cluster_without_shared_folder_is_an_error(spark):
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        Snapshot(FakeSession(spark, spark_master="yarn"), "t")
+
+
+def test_snapshot_is_removed_at_close(spark, tmp_path):
+    named = FakeSession(spark, spark_checkpoint_dir=str(tmp_path), spark_master="yarn")
+    snapshot = Snapshot(named, "t")
+    snapshot.settle("numbers", spark.range(10))
+    assert len(list(tmp_path.iterdir())) == 1
+    snapshot._spark = spark
+    snapshot.close()
+    assert list(tmp_path.iterdir()) == []
+
+
+def test_averages_of_thirds_do_not_depend_on_partitioning(spark):
+    rows = [(i, (i % 15) / 3, i % 4 == 0) for i in range(5000)]
+    df = spark.createDataFrame(rows, "i long, review_score_avg double, late boolean")
+    found = {
+        df.repartition(n, "i").agg(stable_average("review_score_avg")).first()[0]
+        for n in (1, 2, 3, 5, 7, 16)
+    }
+    assert len(found) == 1 and abs(found.pop() - sum(r[1] for r in rows) / 5000) < 1e-11
+
+
+def test_money_finer_than_four_decimals_is_refused(spark):
+    fine = spark.createDataFrame([(0.0001,), (33.33,), (None,), (-7.1234,)], "m double")
+    assert fine.agg(money_sum("m")).first()[0] == 26.2067
+    with pytest.raises(Exception, match="finer than four decimals"):
+        spark.createDataFrame([(0.00004,)] * 9, "m double").agg(money_sum("m")).collect()
 
 
 def test_local_session_may_use_a_temporary_folder(spark):
