@@ -64,6 +64,15 @@ def test_histogram_like_numpy(spark, values, bins):
     assert found[-1].bin_to == pytest.approx(edges[-1])
 
 
+@pytest.mark.parametrize("low", [0.85, 1.0, 6.0])
+def test_histogram_with_values_on_the_edges(spark, low):
+    edges = np.linspace(low, 600.0, 61)
+    values = np.concatenate([edges, np.nextafter(edges[1:], 0), np.nextafter(edges[:-1], 700)])
+    counts, _ = np.histogram(values, bins=60)
+    found = equal_width_histogram(money_frame(spark, values.tolist()), "v", 60).orderBy("bin")
+    assert [r.n for r in found.collect()] == counts.tolist()
+
+
 def test_top_with_total(spark):
     df = spark.createDataFrame(
         [("a", 5), ("b", 5), (None, 5), ("d", None), ("e", 9)], "k string, v bigint"

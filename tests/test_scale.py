@@ -63,8 +63,8 @@ def test_hot_order_is_split_between_tasks(spark, splitting):
     lines = hot(spark, 300_000).select(
         "order_id",
         (F.col("id") % 97).alias("product_sk"),
-        F.rand(7).alias("price"),
-        F.rand(8).alias("freight_value"),
+        F.round(F.rand(7), 2).alias("price"),
+        F.round(F.rand(8), 2).alias("freight_value"),
     )
     orders = spark.range(5000).select(
         F.col("id").alias("order_id"), F.lit("delivered").alias("order_status")
