@@ -17,7 +17,6 @@ packed each for itself. An empty table gives no pieces. Other columns are not re
 
 from __future__ import annotations
 
-import re
 import zlib
 from array import array
 from collections.abc import Iterator
@@ -32,15 +31,18 @@ from marketmill.llm.shared import settle
 
 CAPACITY = 2048
 TOKENIZER = "byte_bpe_50k.json"
-CACHE_WORDS = 300_000
+CACHE_WORDS = 400_000
 
 _PIECES = (
     "doc_id long, piece int, start long, length int, ids_crc32 long, part int, rank long"
 )
 
 
-# White space beside a space, or at an end: there the plain cut at spaces does not hold.
-_UNEVEN = re.compile(r"\s | \s|\A\s|\s\Z")
+_STOPS = tuple(".,;:!?")
+
+
+class _Uneven(Exception):
+    """White space beside a space, or at an end: there the plain cut at spaces does not hold."""
 
 
 class WordTokens(dict):
@@ -62,6 +64,7 @@ class WordTokens(dict):
         self._cut = regex.compile(public_tokenizers.PATTERN).findall
         self._limit = limit
         self._old: dict[str, bytes] = {}
+        self._pieces: dict[str, bytes] = {}
         # The printable stand-ins of bytes in byte-level vocabularies: a byte that is no
         # printable Latin-1 character is a character from 256 on, in order.
         shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -69,6 +72,10 @@ class WordTokens(dict):
         self._stand_ins = {b: 256 + k for k, b in enumerate(hidden)}
 
     def __missing__(self, word: str) -> bytes:
+        if word[-1:] in _STOPS and word[:-1].isalpha():
+            return self[word[:-1]] + self._piece(word[-1])
+        if not word or word[0].isspace() or word[-1].isspace():
+            raise _Uneven
         ids = self._old.get(word)
         if ids is None:
             ids = self._bpe(" " + word) if word.isalpha() else self._cut_ids(" " + word)
@@ -82,17 +89,30 @@ class WordTokens(dict):
         plain = piece.encode().decode("latin-1").translate(self._stand_ins)
         return array("I", [t.id for t in self._model.tokenize(plain)]).tobytes()
 
+    def _piece(self, piece: str) -> bytes:
+        """Of a piece as the rule cuts them: a space and a word, or anything else."""
+        if piece[0] == " " and piece[1:].isalpha():
+            return self[piece[1:]]
+        ids = self._pieces.get(piece)
+        if ids is None:
+            if len(self._pieces) >= self._limit // 4:
+                self._pieces.clear()
+            ids = self._pieces[piece] = self._bpe(piece)
+        return ids
+
     def _cut_ids(self, text: str) -> bytes:
-        return b"".join(
-            [self[p[1:]] if p[0] == " " and p[1:].isalpha() else self._bpe(p) for p in self._cut(text)]
-        )
+        return b"".join(map(self._piece, self._cut(text)))
 
     def ids(self, text: str) -> bytes:
         """The ids as unsigned 32-bit numbers, little-endian on the machines in use."""
-        if _UNEVEN.search(text):
+        words = text.split(" ")
+        if not words[0] or words[0][0].isspace() or words[0][-1].isspace():
+            return self._cut_ids(text)
+        try:
+            rest = b"".join(map(self.__getitem__, words[1:]))
+        except _Uneven:
             return self._cut_ids(text)
-        first, *rest = text.split(" ")
-        return self._cut_ids(first) + b"".join(map(self.__getitem__, rest))
+        return self._cut_ids(words[0]) + rest
 
 
 _tokens: dict[str, WordTokens] = {}
