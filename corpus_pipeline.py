@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 from marketmill.llm import mixing, near_dup, packing, pii, toxicity
-from marketmill.llm.shared import use_shared_folder
+from marketmill.llm.shared import ship, use_shared_folder
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
@@ -50,6 +50,7 @@ ORACLE_SQL = None
 def run(spark: SparkSession, folder: str) -> DataFrame:
     """All stages over ``documents``; each result is written as Parquet and read by the next."""
     use_shared_folder(spark)
+    ship(spark)
     root = f"{spark.sparkContext.getCheckpointDir()}/corpus-{uuid.uuid4().hex}"
     docs = spark.read.parquet(f"{folder}/documents.parquet")
     for name, stage in STAGES:

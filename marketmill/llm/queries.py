@@ -16,9 +16,11 @@ from marketmill.llm import (
     toxicity,
     url_rules,
 )
+from marketmill.llm.shared import ship
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 

@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import atexit
+import os
+import shutil
 import tempfile
 
+import marketmill
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,3 +41,20 @@ def computed_once(df: DataFrame, *columns: Column | str) -> DataFrame:
     projection by copying its expressions into them, which evaluates nested ones many times
     over; it does not move them below a generator."""
     return df.select(F.inline(F.array(F.struct(*columns))))
+
+
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Sends this package to the executors, once per application, for those that do not have it
+    installed: functions that run there are found by their module's name."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    _shipped.add(context.applicationId)
+    package = os.path.dirname(os.path.abspath(marketmill.__file__))
+    folder = tempfile.mkdtemp(prefix="marketmill-")  # the driver serves the file from here
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    name = f"{folder}/marketmill-{context.applicationId}"
+    context.addPyFile(shutil.make_archive(name, "zip", os.path.dirname(package), "marketmill"))
