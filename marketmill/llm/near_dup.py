@@ -4,15 +4,16 @@ A text's set is its distinct runs of five words. Two texts are linked if the Jac
 of their sets is at least ``SIMILARITY``; classes are what links connect. Texts of equal words
 are one node from the start, so copies are never compared.
 
-1. Signatures of ``HASHES`` minima, cut into bands of ``ROWS``; texts that agree in a band share
-   a bucket. A pair at the threshold shares none of 32 buckets with a chance of 5e-6.
+1. ``HASHES`` minima per text. The first are cut into ``BANDS`` bands of ``ROWS``; texts that
+   agree in a band share a bucket. A pair at the threshold shares none of them with a chance of
+   5e-6. The signature is one byte of each minimum.
 2. In every bucket, each text is compared with the one of the smallest id: as many pairs as
    rows. Signatures are compared in batches; after each batch, a pair is given up if the
    posterior chance that its similarity reaches the threshold (uniform prior, binomial
    agreement) is below ``MISS``. What survives is verified on the full sets.
 3. Only texts of a bucket that are still in different classes can add a link that matters. They
-   meet in blocks of bounded size, again by batches of (short) signatures, then as in 2. So a
-   large group of near copies costs its size and not its square, and no link is lost.
+   meet in blocks of bounded size, again by batches of signatures, and the survivors are
+   verified as in 2. So a large group of near copies costs its size, and no link is lost.
 
 Defined results: null and empty texts and texts without words have an empty set and are linked
 with nothing. Rows that repeat an id are one document, linked with whatever either is. A row
@@ -36,17 +37,17 @@ from marketmill.llm.shared import settle
 WORDS = 5
 SIMILARITY = 0.75
 PERCENT = 75
-HASHES = 128
+HASHES = 512
+BANDS = 32
 ROWS = 4
-BATCH = 16
-MISS = 1e-6
-SKETCH = 64
+BATCH = 32
+MISS = 1e-5
 BLOCK = 256
 CHUNK = 1024
+BROADCAST_IDS = 200_000
 
 _RANDOM = np.random.default_rng(5)
 _FACTORS = _RANDOM.integers(1, 1 << 32, HASHES, dtype=np.uint32) | np.uint32(1)
-_SHIFTS = _RANDOM.integers(0, 1 << 32, HASHES, dtype=np.uint32)
 _PLACES = _RANDOM.integers(1, 1 << 62, WORDS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
@@ -74,16 +75,30 @@ def shingles(words: list[bytes]) -> np.ndarray:
     return np.unique(_mixed(total))
 
 
-def signature(hashes: np.ndarray) -> np.ndarray:
+def minima(hashes: np.ndarray) -> np.ndarray:
+    """The least value of each hash function over a set."""
     short = (hashes >> np.uint64(32)).astype(np.uint32)
     least = np.full(HASHES, 0xFFFFFFFF, np.uint32)
-    for k in range(0, len(short), 2048):
-        part = short[None, k : k + 2048] ^ _SHIFTS[:, None]
-        part *= _FACTORS[:, None]
+    for k in range(0, len(short), 512):
+        part = short[None, k : k + 512] * _FACTORS[:, None]
         np.minimum(least, part.min(axis=1), out=least)
     return least
 
 
+def signature(least: np.ndarray) -> bytes:
+    """One byte of each minimum; bytes of different minima agree once in 256 times."""
+    return (least >> np.uint32(8)).astype(np.uint8).tobytes()
+
+
+def bands(least: np.ndarray) -> np.ndarray:
+    """A number for each band of minima."""
+    cut = least[: BANDS * ROWS].reshape(BANDS, ROWS).astype(np.uint64)
+    total = np.arange(1, BANDS + 1, dtype=np.uint64)
+    for k in range(ROWS):
+        total = _mixed(total * _PLACES[k] + cut[:, k])
+    return total.view(np.int64)
+
+
 def least_agreement(similarity: float, miss: float, total: int, batch: int) -> dict[int, int]:
     """After n values, the smallest agreement m that is not given up: with a uniform prior, the
     posterior of the similarity is Beta(m + 1, n - m + 1), and the chance that it reaches s is
@@ -98,60 +113,69 @@ def least_agreement(similarity: float, miss: float, total: int, batch: int) -> d
     return limits
 
 
-def surviving(left: np.ndarray, right: np.ndarray, limits: dict[int, int]) -> np.ndarray:
-    """Rows whose signatures are not given up after any batch; each batch sees the rows left."""
-    alive = np.arange(len(left))
-    agree = np.zeros(len(left), np.int32)
+def surviving(left, x: np.ndarray, right, y: np.ndarray, limits: dict[int, int]) -> np.ndarray:
+    """Pairs (row x of left, row y of right), by place, that are not given up after any batch of
+    their signatures; each batch sees the pairs that are left."""
+    alive = np.arange(len(x))
+    agree = np.zeros(len(x), np.int32)
     at = 0
     for n, least in limits.items():
-        agree[alive] += (left[alive, at:n] == right[alive, at:n]).sum(axis=1)
+        agree[alive] += (left[x[alive], at:n] == right[y[alive], at:n]).sum(axis=1)
         alive = alive[agree[alive] >= least]
         at = n
     return alive
 
 
+def _limits() -> dict[int, int]:
+    return least_agreement(SIMILARITY + (1 - SIMILARITY) / 256, MISS, HASHES, BATCH)
+
+
+def _matrix(signatures) -> np.ndarray:
+    return np.frombuffer(b"".join(signatures), np.uint8).reshape(-1, HASHES)
+
+
 def signed(docs: DataFrame, key="doc_id", text="text") -> DataFrame:
-    """Per row: doc_id, n_shingles, digest of its words (null if none), signature."""
+    """Per row: doc_id, n_shingles, and, null without words, the digest of the words, the
+    signature and the numbers of the bands."""
 
     def sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            sizes, digests, signatures = [], [], []
+            sizes, digests, signatures, numbers = [], [], [], []
             for text in batch["text"]:
                 words = words_of(text)
                 hashes = shingles(words)
+                least = minima(hashes)
                 sizes.append(len(hashes))
                 digests.append(xxhash.xxh3_128_digest(b" ".join(words)) if words else None)
-                signatures.append(signature(hashes).tobytes() if words else None)
+                signatures.append(signature(least) if words else None)
+                numbers.append(bands(least) if words else None)
             yield pd.DataFrame(
                 {
                     "doc_id": batch["doc_id"].astype("Int64"),
                     "n_shingles": sizes,
                     "digest": digests,
                     "signature": signatures,
+                    "bands": numbers,
                 }
             )
 
     rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
     return rows.mapInPandas(
-        sign, "doc_id long, n_shingles long, digest binary, signature binary"
+        sign,
+        "doc_id long, n_shingles long, digest binary, signature binary, bands array<long>",
     )
 
 
 def _buckets(nodes: DataFrame) -> DataFrame:
     """(bucket, id, center) of all nodes in a bucket with others; the center has the least id."""
-    width = 4 * ROWS
-    bands = F.transform(
-        F.sequence(F.lit(0), F.lit(HASHES // ROWS - 1)),
-        lambda i: F.xxhash64(i, F.substr(F.col("signature"), i * width + 1, F.lit(width))),
-    )
-    rows = nodes.select("id", F.explode(bands).alias("bucket"))
+    rows = nodes.select("id", F.explode("bands").alias("bucket"))
     shared = rows.groupBy("bucket").agg(F.min("id").alias("center"), F.max("id").alias("last"))
     return rows.join(shared.where("center < last").drop("last"), "bucket")
 
 
 def _not_given_up(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     """Pairs (a, b) that outlast all batches of their signatures."""
-    limits = least_agreement(SIMILARITY, MISS, HASHES, BATCH)
+    limits = _limits()
     of = lambda end: nodes.select(
         F.col("id").alias(end), F.col("signature").alias(f"of_{end}"), F.col("n_shingles").alias(f"n_{end}")
     )
@@ -162,24 +186,26 @@ def _not_given_up(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
 
     def verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            matrix = lambda c: np.frombuffer(b"".join(batch[c]), np.uint32).reshape(-1, HASHES)  # noqa: E731,B023
-            alive = surviving(matrix("of_a"), matrix("of_b"), limits)
+            each = np.arange(len(batch))
+            alive = surviving(_matrix(batch["of_a"]), each, _matrix(batch["of_b"]), each, limits)
             yield batch[["a", "b"]].iloc[alive]
 
     return joined.select("a", "b", "of_a", "of_b").mapInPandas(verify, "a long, b long")
 
 
-def _links(pairs: DataFrame, docs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """The pairs that are similar enough on their full sets. A set is hashed again from its text,
-    for nodes in a pair only."""
+def _links(pairs: DataFrame, docs: DataFrame) -> DataFrame:
+    """The pairs (a, b) that are similar enough on their full sets. A set is hashed again from
+    its text, for nodes in a pair only."""
 
     def sets_of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             sets = [shingles(words_of(t)).view(np.int64) for t in batch["text"]]
             yield pd.DataFrame({"id": batch["id"], "hashes": sets})
 
-    pairs = settle(_not_given_up(pairs, nodes))
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+    pairs = settle(pairs)
+    wanted = settle(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct())
+    if wanted.count() <= BROADCAST_IDS:
+        wanted = F.broadcast(wanted)  # eight bytes each; beyond that, texts are exchanged by id
     sets = settle(
         docs.join(wanted, "id").select("id", "text").mapInPandas(sets_of, "id long, hashes array<long>")
     )
@@ -217,12 +243,7 @@ def _across(members: DataFrame, nodes: DataFrame, classes: DataFrame) -> DataFra
             F.ceil((F.col("n") - F.col("n_first")) / BLOCK).cast("int").alias("blocks"),
         )
     )
-    sketches = nodes.select(
-        "id",
-        F.concat(
-            *[F.substring("signature", 4 * k + 1, 1) for k in range(SKETCH)]
-        ).alias("sketch"),
-    )
+    signatures = nodes.select("id", "signature")
     rows = labelled.join(open_, "bucket")
     slot = lambda n, salt: F.pmod(F.xxhash64("id", F.lit(salt)), F.col(n)).cast("int")
     each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
@@ -236,26 +257,25 @@ def _across(members: DataFrame, nodes: DataFrame, classes: DataFrame) -> DataFra
     group = ["bucket", "block", "chunk"]
     placed = (
         left.unionByName(right)
-        .join(sketches, "id")
+        .join(signatures, "id")
         .withColumn("group", F.xxhash64(*group))
         .drop(*group)
         .repartition("group")
         .sortWithinPartitions("group")
     )
-    # A sketch holds one byte of each value, which agrees by chance once in 256 times.
-    limits = least_agreement(SIMILARITY + (1 - SIMILARITY) / 256, MISS, SKETCH, BATCH)
+    limits = _limits()
 
     def meet(part: pd.DataFrame) -> list[np.ndarray]:
         is_left = part["left"].to_numpy()
         ids, labels = part["id"].to_numpy(np.int64), part["class"].to_numpy(np.int64)
-        sketch = np.frombuffer(b"".join(part["sketch"]), np.uint8).reshape(-1, SKETCH)
+        signatures = _matrix(part["signature"])
         a, b = np.flatnonzero(is_left), np.flatnonzero(~is_left)
         out = []
         for k in range(0, len(a), 64):
             x, y = np.repeat(a[k : k + 64], len(b)), np.tile(b, len(a[k : k + 64]))
             apart = labels[x] != labels[y]
             x, y = x[apart], y[apart]
-            alive = surviving(sketch[x], sketch[y], limits)
+            alive = surviving(signatures, x, signatures, y, limits)
             i, j = ids[x[alive]], ids[y[alive]]
             out.append(np.stack([np.minimum(i, j), np.maximum(i, j)], axis=1))
         return out
@@ -288,16 +308,16 @@ def classes(docs: DataFrame, key="doc_id", text="text") -> DataFrame:
     nodes = settle(
         known.withColumn("id", F.col("doc_id"))
         .join(first, ["digest", "id"])
-        .select("id", "digest", "n_shingles", "signature")
+        .select("id", "digest", "n_shingles", "signature", "bands")
         .dropDuplicates(["digest", "id"])
         .drop("digest")
     )
     texts = docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text"))
     members = settle(_buckets(nodes))
     stars = members.where("id <> center").select(F.col("center").alias("a"), F.col("id").alias("b"))
-    links = _links(stars.distinct(), texts, nodes)
+    links = _links(_not_given_up(stars.distinct(), nodes), texts)
     by_star = components(links)
-    more = _links(_across(members, nodes, by_star), texts, nodes)
+    more = _links(_across(members, nodes, by_star), texts)
     found = components(by_star.toDF("a", "b").union(more)) if not more.isEmpty() else by_star
     of_digest = settle(first).join(found, "id", "left").select(
         "digest", F.coalesce("component", "id").alias("component")
