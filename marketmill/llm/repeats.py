@@ -12,7 +12,7 @@ strings are never listed one by one:
 * Dictionary. Equal phrases are one entry, with the smallest id that has it. Every string of a
   phrase repeats where the phrase does: documents with a larger id need no look inside.
 * Order within the dictionary. Only a trigger with several phrases can have strings that repeat
-  across different phrases. Their suffixes, cut at 50 bytes, are brought together by hash with
+  across different phrases, and only phrases that agree on one side of it. Their suffixes, cut at 50 bytes, are brought together by hash with
   the smallest id of any phrase that holds them. Equal suffixes need only be told apart from
   others, not sorted, so the exchange by hash takes the place of the suffix array's order.
 * The spans that the two steps find are laid over the text, and the rest is what is kept.
@@ -32,12 +32,13 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 WIDTH = 50
 GRAM = 24
 REACH = WIDTH - GRAM  # bytes a string can hold before or after its trigger
+SIDE = REACH // 2  # every string holds as many on one side of its trigger, at least
 _NO_ID = (1 << 63) - 1
 
 _TABLE = np.random.default_rng(11).integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -104,6 +105,21 @@ def phrases(hashes: Hashes, places: np.ndarray, n: int):
     return starts, ends, _mixed(hashes.of(starts, ends) ^ _mixed(cut)).view(np.int64)
 
 
+def sides(hashes: Hashes, places: np.ndarray, phrase: np.ndarray, n: int) -> np.ndarray:
+    """Hashes of the bytes just before and just after each trigger, 32 bits each in one number.
+    Where a text's end cuts a side short, no string holds that side: it gets the phrase's own."""
+    own = phrase.view(np.uint64)
+
+    def side(starts, ends, whole):
+        found = own.copy()
+        found[whole] = hashes.of(starts[whole], ends[whole])
+        return found >> np.uint64(32)
+
+    before = side(places - SIDE, places, places >= SIDE)
+    after = side(places + GRAM, places + GRAM + SIDE, places + GRAM + SIDE <= n)
+    return ((before << np.uint64(32)) | after).view(np.int64)
+
+
 def _distinct_triggers(texts: DataFrame) -> DataFrame:
     def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -122,19 +138,19 @@ def _distinct_triggers(texts: DataFrame) -> DataFrame:
                 }
             )
 
-    return texts.mapInPandas(parse, "trigger long, doc_id long")
+    return texts.mapInPandas(parse, "trigger long not null, doc_id long not null")
 
 
 def _packed(texts: DataFrame) -> DataFrame:
     """doc_id and compressed text, dealt by id."""
 
     def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        press = zstandard.ZstdCompressor(level=1).compress
+        press = zstandard.ZstdCompressor(level=4).compress
         for batch in batches:
             batch["text"] = [press(t.encode()) for t in batch["text"]]
             yield batch
 
-    return texts.mapInPandas(pack, "doc_id long, text binary").repartition("doc_id")
+    return texts.mapInPandas(pack, "doc_id long not null, text binary not null").repartition("doc_id")
 
 
 def _unpacked(batch: pd.DataFrame):
@@ -154,17 +170,22 @@ def _by_document(rows: DataFrame, *columns: str) -> DataFrame:
 
 
 def _phrase_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """(trigger, phrase, doc_id), each once per document, of the triggers listed with a text."""
+    """(trigger, phrase, sides, doc_id), each once per document, of the triggers whose low bits
+    are listed with a text."""
     for batch in batches:
-        parts = [np.empty((0, 3), np.int64)]
+        parts = [np.empty((0, 4), np.int64)]
         for doc_id, data, row in _unpacked(batch):
             hashes = Hashes(data)
             places, own = triggers(hashes, len(data))
-            shared = np.isin(own, _numbers(row.trigger))
+            shared = np.isin(own.astype(np.int32), np.asarray(row.low, np.int32))
             _, _, phrase = phrases(hashes, places[shared], len(data))
-            pairs = np.unique(np.stack([own[shared], phrase], axis=1), axis=0)
-            parts.append(np.column_stack([pairs, np.full(len(pairs), doc_id, np.int64)]))
-        yield pd.DataFrame(np.concatenate(parts), columns=["trigger", "phrase", "doc_id"])
+            _, once = np.unique(phrase, return_index=True)
+            beside = sides(hashes, places[shared][once], phrase[once], len(data))
+            ids = np.full(len(once), doc_id, np.int64)
+            parts.append(np.column_stack([own[shared][once], phrase[once], beside, ids]))
+        yield pd.DataFrame(
+            np.concatenate(parts), columns=["trigger", "phrase", "sides", "doc_id"]
+        )
 
 
 def _string_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -236,27 +257,37 @@ def cut(docs: DataFrame, key="doc_id", text="text") -> DataFrame:
     )
     packed = _packed(texts)
 
-    # Triggers of two documents or more, dealt once and used on both sides.
-    dealt = _distinct_triggers(texts).repartition("trigger")
+    # Triggers of two documents or more. A key has at most one row per document here and below,
+    # and a window's rows spill; one exchange serves both the smallest id and the rows.
+    of_trigger = Window.partitionBy("trigger")
     shared = (
-        dealt.groupBy("trigger")
-        .agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most"))
+        _distinct_triggers(texts)
+        .withColumns({"least": F.min("doc_id").over(of_trigger), "most": F.max("doc_id").over(of_trigger)})
         .where("least < most")
-        .select("trigger")
     )
-    wanted = _by_document(dealt.join(shared, "trigger", "left_semi"), "trigger")
+    # Its low 32 bits tell a document which triggers are meant; one too many does no harm.
+    low = F.col("trigger").bitwiseAND(F.lit(0xFFFFFFFF)).alias("low")
+    low = F.when(low >= 1 << 31, low - (1 << 32)).otherwise(low).cast("int").alias("low")
+    wanted = _by_document(shared.select("doc_id", low), "low")
     entries = packed.join(wanted, "doc_id").mapInPandas(
-        _phrase_rows, "trigger long, phrase long, doc_id long"
+        _phrase_rows,
+        "trigger long not null, phrase long not null, sides long not null, doc_id long not null",
     )
 
-    # The dictionary, by trigger: a phrase's smallest id, and whether the trigger has others.
-    by_trigger = entries.repartition("trigger")
-    first = by_trigger.groupBy("trigger", "phrase").agg(F.min("doc_id").alias("first"))
-    several = (
-        first.groupBy("trigger")
-        .agg((F.count("*") > 1).alias("several"))
+    # The dictionary, by trigger: a phrase's smallest id, and whether another phrase of the
+    # trigger has the same bytes on one side of it. Without that they share no string.
+    def alike(side):
+        beside = Window.partitionBy("trigger", side)
+        return F.min("phrase").over(beside) < F.max("phrase").over(beside)
+
+    known = (
+        entries.repartition("trigger")
+        .withColumn("first", F.min("doc_id").over(Window.partitionBy("trigger", "phrase")))
+        .withColumn("before", F.shiftright("sides", 32))
+        .withColumn("after", F.col("sides").bitwiseAND(F.lit(0xFFFFFFFF)))
+        .withColumn("alike_before", alike("before"))
+        .withColumn("several", F.col("alike_before") | alike("after"))
     )
-    known = by_trigger.join(first, ["trigger", "phrase"]).join(several, "trigger")
     # 0: the whole phrase repeats an earlier document; 1: look at its strings.
     found = known.where((F.col("first") < F.col("doc_id")) | F.col("several")).select(
         "doc_id", "phrase", F.when(F.col("first") < F.col("doc_id"), 0).otherwise(1).alias("inside")
@@ -264,11 +295,13 @@ def cut(docs: DataFrame, key="doc_id", text="text") -> DataFrame:
     by_phrase = _by_document(found, "phrase", "inside")
 
     looked_into = by_phrase.where(F.array_contains("inside", 1))
-    strings = packed.join(looked_into, "doc_id").mapInPandas(_string_rows, "string long, doc_id long")
-    by_string = strings.repartition("string")
-    earliest = by_string.groupBy("string").agg(F.min("doc_id").alias("earliest"))
-    repeated = by_string.join(earliest, "string").where("earliest < doc_id")
-    by_repeat = _by_document(repeated.select("doc_id", "string"), "string")
+    strings = packed.join(looked_into, "doc_id").mapInPandas(
+        _string_rows, "string long not null, doc_id long not null"
+    )
+    repeated = strings.withColumn(
+        "earliest", F.min("doc_id").over(Window.partitionBy("string"))
+    ).where("earliest < doc_id")
+    by_repeat = _by_document(repeated, "string")
 
     rows = (
         packed.join(by_phrase, "doc_id", "left")
