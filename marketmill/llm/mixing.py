@@ -23,6 +23,7 @@ MAX_REPEATS = 3
 LEVEL_BITS = 12
 LEVELS = 3
 HASH_BITS = 48
+BROADCAST_SOURCES = 100_000
 
 
 def word_count(text: Column) -> Column:
@@ -137,6 +138,13 @@ def thresholds(rows: DataFrame, weights=WEIGHTS, max_repeats: int = MAX_REPEATS)
     )
 
 
+def beside(edges: DataFrame) -> DataFrame:
+    """The thresholds ready to be joined with documents: broadcast while there are few sources,
+    so that a source with a third of the documents stays where it is."""
+    edges = settle(edges)
+    return F.broadcast(edges) if edges.count() <= BROADCAST_SOURCES else edges
+
+
 def copies(number: Column, edge: str = "", max_repeats: int = MAX_REPEATS) -> Column:
     """How often a document of a row joined with its source's threshold is taken."""
     more = (number < F.col(f"{edge}below")).cast("int")
@@ -155,7 +163,7 @@ def measured(docs: DataFrame, key="doc_id", source="source", text="text") -> Dat
 def mixed(docs: DataFrame, weights=WEIGHTS, max_repeats: int = MAX_REPEATS) -> DataFrame:
     """Per document: doc_id, size, source_size, target, taken (words, repeats counted)."""
     rows = settle(measured(docs))
-    edges = thresholds(rows, weights, max_repeats).withColumnRenamed("source", "of")
+    edges = beside(thresholds(rows, weights, max_repeats).withColumnRenamed("source", "of"))
     return rows.join(edges, F.col("source").eqNullSafe(F.col("of"))).select(
         "doc_id",
         "size",
@@ -168,9 +176,11 @@ def mixed(docs: DataFrame, weights=WEIGHTS, max_repeats: int = MAX_REPEATS) -> D
 def apply_mix(docs: DataFrame, weights=WEIGHTS, max_repeats: int = MAX_REPEATS) -> DataFrame:
     """The documents as the mix takes them, a row for each time, with their own columns."""
     rows = settle(measured(docs))
-    edges = thresholds(rows, weights, max_repeats).select(
-        F.col("source").alias("__mix_source"),
-        F.struct("repeats", "below").alias("__mix"),
+    edges = beside(
+        thresholds(rows, weights, max_repeats).select(
+            F.col("source").alias("__mix_source"),
+            F.struct("repeats", "below").alias("__mix"),
+        )
     )
     taken = copies(hash_number(F.col("doc_id")), "__mix.", max_repeats)
     return (
