@@ -7,8 +7,9 @@ gives the expected grade, the likeliest grade, and whether grade 1 or more is li
 The labels tell toxic from clean only; a toxic sample text is graded 2 where it holds at least
 as many toxic-leaning words as the median toxic one, else 1. The model is fitted on a sample of
 at most about ``SAMPLE_ROWS`` labelled documents of either class, picked by the hash of their
-id, with at most ``FEATURES`` words, those that tell the classes apart best. All documents are
-scored, over their whole texts.
+id, with at most ``FEATURES`` words, those that tell the classes apart best. A sample text counts
+for as many labelled ones as it was drawn from, so that the thresholds carry the labels' own ratio
+of classes, however many there are. All documents are scored, over their whole texts.
 
 Defined results: null, empty and wordless texts score like a text without known words; without
 labels of both classes every text has grade 0. A document labelled twice counts as toxic if any
@@ -63,10 +64,14 @@ def probabilities(sums: np.ndarray, thresholds: np.ndarray) -> np.ndarray:
     return np.diff(np.hstack([np.zeros((n, 1)), below, np.ones((n, 1))]), axis=1)
 
 
-def fit_ordinal(indices, bounds, grades, n_words, n_grades, rounds=ROUNDS, ridge=RIDGE):
+def fit_ordinal(
+    indices, bounds, grades, n_words, n_grades, rounds=ROUNDS, ridge=RIDGE, counts=None
+):
     """Weights and thresholds by full-batch Adam. Row r's words are indices[bounds[r]:bounds[r+1]].
-    Thresholds are a first one and positive steps, so that they stay in order."""
+    Thresholds are a first one and positive steps, so that they stay in order. A row counts as
+    ``counts[r]`` rows, without counts as one."""
     rows = len(grades)
+    share = np.full(rows, 1 / rows) if counts is None else counts / np.sum(counts)
     row_of = np.repeat(np.arange(rows), np.diff(bounds))
     steps = n_grades - 1
     theta = np.zeros(n_words + steps)
@@ -82,10 +87,10 @@ def fit_ordinal(indices, bounds, grades, n_words, n_grades, rounds=ROUNDS, ridge
         r = np.arange(rows)
         chance = np.maximum(below[r, grades + 1] - below[r, grades], 1e-12)
         up, down = slope[r, grades + 1] / chance, slope[r, grades] / chance
-        by_sum = (up - down) / rows  # of the negative log-likelihood
+        by_sum = (up - down) * share  # of the negative log-likelihood
         by_threshold = np.zeros(n_grades + 1)
-        np.add.at(by_threshold, grades + 1, -up / rows)
-        np.add.at(by_threshold, grades, down / rows)
+        np.add.at(by_threshold, grades + 1, -up * share)
+        np.add.at(by_threshold, grades, down * share)
         inside = by_threshold[1:-1]
         gradient = np.empty_like(theta)
         gradient[:n_words] = np.bincount(indices, by_sum[row_of], n_words) + ridge * weights / 10
@@ -100,17 +105,21 @@ def fit_ordinal(indices, bounds, grades, n_words, n_grades, rounds=ROUNDS, ridge
 
 
 def labelled_sample(labels: DataFrame, rows: int = SAMPLE_ROWS) -> DataFrame:
-    """(labelled_id, toxic): about ``rows`` ids of each class at most, by their hash."""
+    """(labelled_id, toxic, stands_for): about ``rows`` ids of each class at most, by their hash,
+    and how many labelled ids of its class each one stands for."""
     marked = (
         labels.where("doc_id IS NOT NULL AND toxic IS NOT NULL")
         .groupBy("doc_id")
         .agg(F.max("toxic").cast("int").alias("toxic"))
     )
-    share = F.lit(0.0)
+    share, stands_for = F.lit(0.0), F.lit(1.0)
     for r in marked.groupBy("toxic").count().collect():  # one row per class
-        share = F.when(F.col("toxic") == r["toxic"], min(1.0, rows / r["count"])).otherwise(share)
+        own = F.col("toxic") == r["toxic"]
+        share = F.when(own, min(1.0, rows / r["count"])).otherwise(share)
+        stands_for = F.when(own, max(1.0, r["count"] / rows)).otherwise(stands_for)
     draw = F.pmod(F.xxhash64("doc_id", F.lit(4)), F.lit(1 << 30)) < share * (1 << 30)
-    return marked.where(draw).withColumnRenamed("doc_id", "labelled_id")
+    drawn = marked.where(draw).withColumn("stands_for", stands_for)
+    return drawn.withColumnRenamed("doc_id", "labelled_id")
 
 
 def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> Model | None:
@@ -122,6 +131,7 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> Model |
             yield pd.DataFrame(
                 {
                     "toxic": b["toxic"],
+                    "stands_for": b["stands_for"],
                     "words": [
                         [w.decode(errors="replace") for w in sorted(distinct_words(t))]
                         for t in b["text"]
@@ -132,8 +142,8 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> Model |
     sample = settle(
         docs.select("doc_id", "text")
         .join(ids, F.col("doc_id") == F.col("labelled_id"))
-        .select("toxic", "text")
-        .mapInPandas(words_of, "toxic int, words array<string>")
+        .select("toxic", "stands_for", "text")
+        .mapInPandas(words_of, "toxic int, stands_for double, words array<string>")
     )
     size = {r["toxic"]: r["count"] for r in sample.groupBy("toxic").count().collect()}
     if not size.get(0) or not size.get(1):
@@ -160,17 +170,26 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> Model |
     def indexed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             found = [[place[w] for w in words if w in place] for words in b["words"]]
-            yield pd.DataFrame({"toxic": b["toxic"], "words": found})
+            yield pd.DataFrame(
+                {"toxic": b["toxic"], "stands_for": b["stands_for"], "words": found}
+            )
 
     # The sample's rows, each with at most FEATURES numbers.
-    data = sample.mapInPandas(indexed, "toxic int, words array<int>").toPandas()
+    data = sample.mapInPandas(
+        indexed, "toxic int, stands_for double, words array<int>"
+    ).toPandas()
     toxic = data["toxic"].to_numpy()
     lists = [np.asarray(w, dtype=np.int64) for w in data["words"]]
     hits = np.array([leaning[w].sum() for w in lists])
     grades = np.where(toxic == 1, np.where(hits >= np.median(hits[toxic == 1]), 2, 1), 0)
     bounds = np.concatenate([[0], np.cumsum([len(w) for w in lists])])
     weights, thresholds = fit_ordinal(
-        np.concatenate(lists), bounds, grades.astype(np.int64), len(features), 3
+        np.concatenate(lists),
+        bounds,
+        grades.astype(np.int64),
+        len(features),
+        3,
+        counts=data["stands_for"].to_numpy(),
     )
     words = {r["word"].encode(): float(w) for r, w in zip(features, weights, strict=True)}
     return Model(words, thresholds)
