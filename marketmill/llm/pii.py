@@ -2,13 +2,15 @@
 
 Kinds with a fixed rule (always reported): e-mail, IPv4 with parts up to 255, payment card with
 14 to 19 digits that pass Luhn, phone with a plus and 10 to 15 digits. Kinds of the method: IBAN
-that passes mod 97, and nine-digit identity numbers, reported if their score reaches
+of its country's length that passes mod 97, and nine-digit identity numbers, reported if their score reaches
 ``MIN_SCORE``: a prior for the kind, raised by a context word among the ``CONTEXT_CHARS``
 characters before the span. Every base span carries its score too.
 
 Matches are the leftmost non-overlapping ones of each kind. Runs are matched possessively, and
 only from where a run starts or the last match ended, which gives the same matches as the plain
-patterns in time linear in the text. Places are code points, end exclusive.
+patterns in time linear in the text. IBANs are proposed at every place where one can start, so
+that what follows one, or only looks like one before it, does not hide it; those that pass are
+then looked up in the text. Places are code points, end exclusive.
 
 Defined results: null text is empty text, without spans. Repeated rows are judged each for
 itself. A marker character that is in the text already is taken for another one that no
@@ -24,13 +26,39 @@ from marketmill.llm.shared import computed_once
 
 MARK, OTHER = "\u0001", "\u0002"
 _LOCAL = r"[A-Za-z0-9._%+-]"
+# Country to characters of its IBAN: the registry, then countries that use IBANs unregistered.
+IBAN_LENGTHS = dict(
+    AD=24, AE=23, AL=28, AT=20, AZ=28, BA=20, BE=16, BG=22, BH=22, BI=27, BR=29, BY=28, CH=21,
+    CR=22, CY=28, CZ=24, DE=22, DJ=27, DK=18, DO=28, EE=20, EG=29, ES=24, FI=18, FK=18, FO=18,
+    FR=27, GB=22, GE=22, GI=23, GL=18, GR=27, GT=28, HN=28, HR=21, HU=28, IE=22, IL=23, IQ=23,
+    IS=26, IT=27, JO=30, KW=30, KZ=20, LB=28, LC=32, LI=21, LT=20, LU=20, LV=21, LY=25, MC=27,
+    MD=24, ME=22, MK=19, MN=20, MR=27, MT=31, MU=30, NI=28, NL=18, NO=15, OM=23, PK=24, PL=28,
+    PS=29, PT=25, QA=29, RO=24, RS=22, RU=33, SA=24, SC=31, SD=18, SE=24, SI=19, SK=24, SM=27,
+    SO=23, ST=25, SV=28, TL=23, TN=24, TR=26, UA=29, VA=22, VG=24, XK=20, YE=30,
+    AO=25, BF=28, BJ=28, CF=27, CG=27, CI=28, CM=27, CV=25, DZ=26, GA=27, GQ=27, GW=25, IR=26,
+    KM=27, MA=28, MG=27, ML=28, MZ=25, NE=28, SN=28, TD=27, TG=28,
+)
+
+
+def _iban() -> str:
+    """Of each country's length; for other letters, which no country has, the whole run."""
+    own = [
+        "(?:{})[0-9]{{2}}(?: ?[A-Z0-9]){{{}}}".format(
+            "|".join(c for c, m in IBAN_LENGTHS.items() if m == n), n - 4
+        )
+        for n in sorted(set(IBAN_LENGTHS.values()))
+    ]
+    other = rf"(?!{'|'.join(IBAN_LENGTHS)})[A-Z]{{2}}[0-9]{{2}}(?: ?[A-Z0-9]){{11,30}}+"
+    return rf"(?:{'|'.join([*own, other])})"
+
+
 # Kind to pattern, in the order in which equal starts are listed.
 PATTERNS = {
     "email": rf"(?:(?<!{_LOCAL})|\G){_LOCAL}++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
     "ip": r"(?:(?<![0-9])|\G)[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++",
     "card": r"[0-9](?:[ -]?[0-9]){13,}+",
     "phone": r"\+[0-9][ ().0-9-]+[0-9]",
-    "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}+(?![A-Za-z0-9])",
+    "iban": rf"(?<![A-Za-z0-9]){_iban()}(?![A-Za-z0-9])",
     "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
 }
 BASE = ("email", "ip", "card", "phone")
@@ -90,15 +118,27 @@ def _valid(kind: str, match: Column) -> Column:
         return F.length(digits).between(14, 19) & luhn(digits)
     if kind == "phone":
         return F.length(_digits(match)).between(10, 15)
-    if kind == "iban":
-        return mod_97(match)
     if kind == "ssn":
         return ~match.rlike("^(?:000|666|9)|-00-|-0000$")
     return F.lit(True)
 
 
+def ibans(text: Column) -> Column:
+    """The different IBANs of a text as they stand there, as one pattern; empty if none."""
+    # Starts are tried one by one: a look-ahead takes up no text.
+    start = r"(?<![A-Za-z0-9])(?=[A-Z]{2}[0-9]{2})"
+    proposed = F.regexp_extract_all(text, F.lit(f"{start}(?=({_iban()})(?![A-Za-z0-9]))"), 1)
+    return F.array_join(F.filter(F.array_distinct(proposed), mod_97), "|")
+
+
 def _pieces(text: Column, kind: str) -> Column:
     """The text cut before and after each match: every second piece is a match."""
+    if kind == "iban":  # letters, digits and blanks stand for themselves in a pattern
+        known = F.concat(
+            F.lit("(?<![A-Za-z0-9])(?=[A-Z]{2}[0-9]{2})("), "ibans", F.lit(")(?![A-Za-z0-9])")
+        )
+        marked = F.regexp_replace(text, known, F.lit(f"{MARK}$1{MARK}"))
+        return F.when(F.col("ibans") != "", F.split(marked, MARK, -1))
     marked = F.regexp_replace(text, f"({PATTERNS[kind]})", f"{MARK}$1{MARK}")
     pieces = F.split(marked, MARK, -1)
     if kind in NEEDS:
@@ -156,6 +196,7 @@ def find(docs: DataFrame, key="doc_id", text="text") -> DataFrame:
     """doc_id, text and ``spans``: confirmed spans of every kind, by start and kind."""
     clean = F.translate(F.coalesce(F.col(text), F.lit("")), MARK, OTHER)
     rows = docs.select(F.col(key).alias("doc_id"), clean.alias("text"))
+    rows = rows.withColumn("ibans", ibans(F.col("text")))
     for kind in PATTERNS:
         rows = rows.withColumn(f"p_{kind}", _pieces(F.col("text"), kind))
     for kind in PATTERNS:

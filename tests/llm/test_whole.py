@@ -3,7 +3,8 @@
 import numpy as np
 import pytest
 
-from marketmill.llm import toxicity
+from marketmill.llm import pii, toxicity
+from tests.llm import fixtures
 
 
 def test_a_capped_sample_keeps_the_labels_ratio(spark):
@@ -32,3 +33,28 @@ def test_a_row_that_stands_for_several_counts_as_several():
 
     one, many = fitted(np.arange(5), counts=counts), fitted(np.repeat(np.arange(5), counts))
     assert all(np.allclose(a, b, atol=1e-6) for a, b in zip(one, many, strict=True))
+
+
+def redacted(spark, texts):
+    out = pii.redact(fixtures.docs(spark, texts, repeat=())).orderBy("doc_id").collect()
+    return [r["text"] for r in out]
+
+
+def test_ibans_whatever_stands_beside_them(spark):
+    one, two = "DE89 3704 0044 0532 0130 00", "GB82WEST12345698765432"
+    cases = [
+        (f"{one} Bank", "[IBAN] Bank"),
+        (f"{one} BIC COBADEFFXXX", "[IBAN] BIC COBADEFFXXX"),
+        ("DE89370400440532013000 Please pay", "[IBAN] Please pay"),
+        ("DE89370400440532013000 12 May", "[IBAN] 12 May"),
+        (f"{one} 7 A {two} X", "[IBAN] 7 A [IBAN] X"),
+        (f"{one} {two} {one}", "[IBAN] [IBAN] [IBAN]"),
+        (f"BE12 {one} 1", "BE12 [IBAN] 1"),
+        (f"ZZ99 {one} 1", "ZZ99 [IBAN] 1"),
+        ("NO93 8601 1117 947 MT84 MALT 0110 0001 2345 MTLC AST0 01S", "[IBAN] [IBAN]"),
+        (f"{one}7 x", f"{one}7 x"),
+        (f"A{one}", f"A{one}"),
+        (f"{one[:-1]}1 Bank", f"{one[:-1]}1 Bank"),
+        (f"({one}), é😀 {two}.", "([IBAN]), é😀 [IBAN]."),
+    ]
+    assert redacted(spark, [t for t, _ in cases]) == [want for _, want in cases]
