@@ -4,7 +4,9 @@ Kinds with a fixed rule (always reported): e-mail, IPv4 with parts up to 255, pa
 14 to 19 digits that pass Luhn, phone with a plus and 10 to 15 digits. Kinds of the method: IBAN
 of its country's length that passes mod 97, and nine-digit identity numbers, reported if their score reaches
 ``MIN_SCORE``: a prior for the kind, raised by a context word among the ``CONTEXT_CHARS``
-characters before the span. Every base span carries its score too.
+characters before the span or as many after it, across other spans, and carried on through a
+list of spans of the kind, however long. Only a ``CONTRAST`` word that follows a span of the kind
+ends what counts as before. Every base span carries its score too.
 
 Matches are the leftmost non-overlapping ones of each kind. Runs are matched possessively, and
 only from where a run starts or the last match ended, which gives the same matches as the plain
@@ -74,6 +76,10 @@ CONTEXT = {
     "ssn": "ssn|social|security|identity|taxpayer",
 }
 CONTEXT_CHARS = 40
+# "ssn <number> but <number>": the second one is not meant.
+CONTRAST = r"\bbut\b"
+# What stands between the spans of a list.
+LISTING = r"^[^\p{L}\p{N}]{0,40}(?:(?:and|or)[^\p{L}\p{N}]{0,40})?$"
 CONTEXT_GAIN = 0.3
 MIN_SCORE = 0.6
 
@@ -149,23 +155,34 @@ def _pieces(text: Column, kind: str) -> Column:
 SPAN = "array<struct<start:int,kind:int,end:int,score:double>>"
 
 
+def _after(pieces: Column, place: Column) -> Column:
+    """The ``CONTEXT_CHARS`` characters after a piece. No match is shorter than 5 characters, so
+    that they are in few pieces, and in the first characters of each."""
+    following = F.slice(pieces, place + 2, F.lit(2 * (CONTEXT_CHARS // 5) + 3))
+    parts = F.transform(following, lambda p: F.left(p, F.lit(CONTEXT_CHARS)))
+    return F.left(F.array_join(parts, ""), F.lit(CONTEXT_CHARS))
+
+
 def _spans(pieces: Column, kind: str) -> Column:
     """Confirmed matches with place and score; place in kind's order breaks equal starts."""
     number = list(PATTERNS).index(kind)
     start = F.struct(
         F.lit(0).alias("at"),
         F.lit("").alias("before"),
+        F.lit(False).alias("listed"),
         F.array().cast(SPAN).alias("found"),
     )
 
     def step(a, piece_place):
         piece = piece_place["piece"]
         end = a["at"] + F.length(piece)
-        near = F.lower(F.right(a["before"], F.lit(CONTEXT_CHARS)))
+        near = (
+            a["listed"]
+            | F.lower(a["before"]).rlike(CONTEXT[kind])
+            | F.lower(piece_place["after"]).rlike(CONTEXT[kind])
+        )
         score = F.least(
-            F.lit(1.0),
-            F.lit(PRIOR[kind])
-            + F.when(near.rlike(CONTEXT[kind]), CONTEXT_GAIN).otherwise(0.0),
+            F.lit(1.0), F.lit(PRIOR[kind]) + F.when(near, CONTEXT_GAIN).otherwise(0.0)
         )
         accepted = _valid(kind, piece)
         if kind not in BASE:
@@ -179,15 +196,29 @@ def _spans(pieces: Column, kind: str) -> Column:
             )
         )
         is_match = piece_place["place"] % 2 == 1
+        contrast = ~is_match & (piece_place["place"] > 0) & F.lower(piece).rlike(CONTRAST)
+        running = F.when(contrast, piece).otherwise(
+            F.concat(a["before"], F.right(piece, F.lit(CONTEXT_CHARS)))
+        )
         return F.struct(
             end.alias("at"),
-            piece.alias("before"),
+            F.right(running, F.lit(CONTEXT_CHARS)).alias("before"),
+            F.when(is_match, near)
+            .otherwise(a["listed"] & F.lower(piece).rlike(LISTING))
+            .alias("listed"),
             F.when(is_match & accepted, F.concat(a["found"], span)).otherwise(a["found"]).alias(
                 "found"
             ),
         )
 
-    placed = F.transform(pieces, lambda p, i: F.struct(p.alias("piece"), i.alias("place")))
+    placed = F.transform(
+        pieces,
+        lambda p, i: F.struct(
+            p.alias("piece"),
+            i.alias("place"),
+            F.when(i % 2 == 1, _after(pieces, i)).otherwise("").alias("after"),
+        ),
+    )
     found = F.aggregate(placed, start, step)["found"]
     return F.when(F.size(pieces) > 1, found).otherwise(F.array().cast(SPAN))
 

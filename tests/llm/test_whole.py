@@ -58,3 +58,22 @@ def test_ibans_whatever_stands_beside_them(spark):
         (f"({one}), é😀 {two}.", "([IBAN]), é😀 [IBAN]."),
     ]
     assert redacted(spark, [t for t, _ in cases]) == [want for _, want in cases]
+
+
+def test_context_reaches_across_spans_and_after_them(spark):
+    a, b, c = "123-45-6789", "219-09-9999", "457-55-5462"
+    far = "x" * 40
+    cases = [
+        (f"SSN: {a}, {b}, {c}.", "SSN: [SSN], [SSN], [SSN]."),
+        (f"SSN\n{a}\n{b}", "SSN\n[SSN]\n[SSN]"),
+        (f"ssn {a} for Ann, {b} for Bob", "ssn [SSN] for Ann, [SSN] for Bob"),
+        (f"{a} (SSN)", "[SSN] (SSN)"),
+        (f"{a}, {b} (SSN)", "[SSN], [SSN] (SSN)"),
+        (f"{a}, {b}", f"{a}, {b}"),
+        (f"SSN {far} {a}, {b}", f"SSN {far} {a}, {b}"),
+        (f"{a} {far} SSN", f"{a} {far} SSN"),
+        (f"é😀 {a} é😀 social", "é😀 [SSN] é😀 social"),
+        ("SSN:\n" + "\n".join([a, b] * 9), "SSN:\n" + "\n".join(["[SSN]"] * 18)),
+        (f"ssn {a}, {b} or {c} " + "in " * 15 + a, "ssn [SSN], [SSN] or [SSN] " + "in " * 15 + a),
+    ]
+    assert redacted(spark, [t for t, _ in cases]) == [want for _, want in cases]
