@@ -46,7 +46,10 @@ class _Uneven(Exception):
 
 
 class WordTokens(dict):
-    """Token ids of texts as packed bytes, by the byte-level BPE of a ``tokenizers`` file.
+    """Token ids of texts as packed bytes, by the byte-level BPE of a ``tokenizers`` file, equal to
+    those of its ``encode`` without special tokens added. A text with one of the file's own tokens
+    in it, or with a character that the rule's classes here and there differ on, is encoded by the
+    library as a whole. ``ids`` gives those of plain text, in which such a token is like any word.
 
     The vocabulary's rule cuts a text before a space that stands between two other characters,
     whatever is around, so such a space and the word after it have their ids to themselves.
@@ -59,8 +62,12 @@ class WordTokens(dict):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         self._model = self.tokenizer.model
+        self._split = self.tokenizer.pre_tokenizer.pre_tokenize_str
+        added = self.tokenizer.get_added_tokens_decoder().values()
+        self._added = [t.content for t in added]
+        self._alike: set[str] = set()  # characters that both cut alike, of those seen
+        self._unlike: set[str] = set()
         self._cut = regex.compile(public_tokenizers.PATTERN).findall
         self._limit = limit
         self._old: dict[str, bytes] = {}
@@ -103,6 +110,31 @@ class WordTokens(dict):
     def _cut_ids(self, text: str) -> bytes:
         return b"".join(map(self._piece, self._cut(text)))
 
+    def _cut_alike(self, character: str) -> bool:
+        """Whether rule and library put a character in the same class: letters, numbers, white
+        space and the rest stick to different neighbours."""
+        for probe in (f"a{character}a", f"1{character}1", f".{character}.", f"a {character} a"):
+            # The library's pieces have places, the rule's ones are the whole text.
+            if self._cut(probe) != [probe[i:j] for _, (i, j) in self._split(probe)]:
+                return False
+        return True
+
+    def _by_library(self, text: str) -> bool:
+        if any(token in text for token in self._added):
+            return True
+        if text.isascii():
+            return False
+        seen = set(text)
+        for character in seen - self._alike - self._unlike:
+            (self._alike if self._cut_alike(character) else self._unlike).add(character)
+        return not self._unlike.isdisjoint(seen)
+
+    def encoded(self, text: str) -> bytes:
+        """The ids that the library's ``encode`` gives without adding special tokens."""
+        if self._by_library(text):
+            return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+        return self.ids(text)
+
     def ids(self, text: str) -> bytes:
         """The ids as unsigned 32-bit numbers, little-endian on the machines in use."""
         words = text.split(" ")
@@ -139,7 +171,7 @@ def pieces(docs: DataFrame, key="doc_id", text="text", capacity=CAPACITY, tokeni
         for batch in batches:
             rows = []
             for doc_id, text in zip(batch["doc_id"], batch["text"], strict=True):
-                ids = words.ids(text or "") + end
+                ids = words.encoded(text or "") + end
                 total = len(ids) // 4
                 first = (total - 1) % capacity + 1  # the first piece takes the remainder
                 start = 0

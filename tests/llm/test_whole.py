@@ -3,7 +3,7 @@
 import numpy as np
 import pytest
 
-from marketmill.llm import pii, toxicity
+from marketmill.llm import packing, pii, toxicity
 from tests.llm import fixtures
 
 
@@ -77,3 +77,29 @@ def test_context_reaches_across_spans_and_after_them(spark):
         (f"ssn {a}, {b} or {c} " + "in " * 15 + a, "ssn [SSN], [SSN] or [SSN] " + "in " * 15 + a),
     ]
     assert redacted(spark, [t for t, _ in cases]) == [want for _, want in cases]
+
+
+def test_ids_are_those_of_a_plain_encode(spark):
+    import zlib
+
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path(packing.TOKENIZER)
+    library, words = Tokenizer.from_file(path), packing.WordTokens(path)
+    encode = lambda t: library.encode(t, add_special_tokens=False).ids
+    assert encode("hello <|endoftext|> world") == [31373, 220, 50256, 995]
+    every = [chr(c) for c in range(0x2200)]
+    unlike = [c for c in every if not words._cut_alike(c)]
+    texts = ["hello <|endoftext|> world", "<|endoftext|>", "a<|endoftext|><|endoftext|> b", "<|endoftext|",
+             *fixtures.TEXTS[1:], *[f"a{c}b 1{c}2 .{c}. {c} x  {c}" for c in unlike]]
+    for text in texts:
+        assert np.frombuffer(words.encoded(text), "<u4").tolist() == encode(text), text[:80]
+    alike = [c for c in every if c not in set(unlike)]
+    for k in range(0, len(alike), 5000):
+        text = "".join(f"a{c}b1{c}2.{c}. {c}  {c}" for c in alike[k : k + 5000])
+        assert words._cut(text) == [text[i:j] for _, (i, j) in words._split(text)]
+    df = fixtures.docs(spark, texts[:4], repeat=())
+    for r in packing.packed(df).collect():
+        ids = np.array([*encode(texts[r["doc_id"] - 3]), 0], "<u4")
+        assert (r["length"], r["ids_crc32"]) == (len(ids), zlib.crc32(ids.tobytes()))
