@@ -10,6 +10,7 @@ from marketmill.llm import (
     near_dup,
     nearest,
     packing,
+    periodic_runs,
     pii,
     quality,
     repeats,
@@ -64,6 +65,11 @@ def op10_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mixed(_table(spark, folder, "documents"))
 
 
+def op13_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents")
+    return periodic_runs.digest(periodic_runs.found(docs, edit=periodic_runs.looped))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -77,6 +83,7 @@ QUERIES = {
         op8_packing,
         op9_quality,
         op10_mixing,
+        op13_periodic_runs,
     )
 }
 # What SQL cannot express (fitted models, vocabularies, approximate search, 64-bit hashes of
