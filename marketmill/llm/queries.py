@@ -16,6 +16,7 @@ from marketmill.llm import (
     repeats,
     toxicity,
     url_rules,
+    winnowing,
 )
 from marketmill.llm.shared import ship
 
@@ -65,6 +66,10 @@ def op10_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mixed(_table(spark, folder, "documents"))
 
 
+def op11_winnowing(spark: SparkSession, folder: str) -> DataFrame:
+    return winnowing.digest(winnowing.compared(_table(spark, folder, "documents")))
+
+
 def op13_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents")
     return periodic_runs.digest(periodic_runs.found(docs, edit=periodic_runs.looped))
@@ -83,6 +88,7 @@ QUERIES = {
         op8_packing,
         op9_quality,
         op10_mixing,
+        op11_winnowing,
         op13_periodic_runs,
     )
 }
