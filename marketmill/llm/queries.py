@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from marketmill.llm import (
+    collocations,
     licence_scan,
     mixing,
     near_dup,
@@ -70,6 +71,10 @@ def op11_winnowing(spark: SparkSession, folder: str) -> DataFrame:
     return winnowing.digest(winnowing.compared(_table(spark, folder, "documents")))
 
 
+def op12_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return collocations.ranked(collocations.counted(_table(spark, folder, "documents")))
+
+
 def op13_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents")
     return periodic_runs.digest(periodic_runs.found(docs, edit=periodic_runs.looped))
@@ -89,9 +94,14 @@ QUERIES = {
         op9_quality,
         op10_mixing,
         op11_winnowing,
+        op12_collocations,
         op13_periodic_runs,
     )
 }
 # What SQL cannot express (fitted models, vocabularies, approximate search, 64-bit hashes of
 # words) is tested against brute force in tests/llm.
-ORACLES = {"op7_repeats": repeats.ORACLE_SQL, "op10_mixing": mixing.ORACLE_SQL}
+ORACLES = {
+    "op7_repeats": repeats.ORACLE_SQL,
+    "op10_mixing": mixing.ORACLE_SQL,
+    "op12_collocations": collocations.ORACLE_SQL,
+}
