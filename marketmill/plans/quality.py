@@ -174,80 +174,150 @@ def _freshness(rule: NewestYear, lo: Column, hi: Column) -> Column:
     return _finding(rule, (~fresh).cast("int"), detail)
 
 
-def _one_scan(df: DataFrame, rules: list[Rule]) -> DataFrame:
-    """All row and freshness rules of one table from one aggregate pass."""
-    measures, findings = [], []
-    for i, rule in enumerate(rules):
-        if isinstance(rule, RowRule):
-            measures.append(F.count_if(rule.broken()).alias(f"n{i}"))
-            findings.append(_counted(rule, F.col(f"n{i}")))
-        else:
-            stamp = rule.columns[0]
-            measures += [F.min(stamp).alias(f"lo{i}"), F.max(stamp).alias(f"hi{i}")]
-            findings.append(_freshness(rule, F.col(f"lo{i}"), F.col(f"hi{i}")))
-    return df.agg(*measures).select(F.inline(F.array(*findings)))
-
-
-def _key_counts(df: DataFrame, columns: tuple[str, ...], count: str, side: str) -> DataFrame:
-    """Rows per key. A hot key collapses on the map side, before the shuffle."""
-    keys = [F.col(c).alias(f"{side}{i}") for i, c in enumerate(columns)]
-    return df.groupBy(*keys).agg(F.count("*").alias(count))
-
-
-def _duplicate_groups(df: DataFrame, rule: UniqueKey) -> DataFrame:
-    counted = _key_counts(df, rule.columns, "copies", "p").agg(
-        F.count_if(F.col("copies") > 1).alias("n")
-    )
-    return counted.select(F.inline(F.array(_counted(rule, F.col("n")))))
+def _kind(dtype: str) -> str:
+    """How a key column travels: as a number, or as text."""
+    if dtype in ("tinyint", "smallint", "int", "bigint"):
+        return "whole"
+    return "day" if dtype == "date" else "text"
+
+
+def _part(c: str, kind: str) -> Column:
+    if kind == "whole":
+        return F.col(c).cast("bigint")
+    return F.unix_date(c).cast("bigint") if kind == "day" else F.col(c).cast("string")
+
+
+@dataclass
+class _Relation:
+    """One key that is counted: rows of the table that owns it, and of each rule that refers to
+    it. ``kinds`` says in which of the shared columns its parts travel."""
 
+    number: int
+    kinds: tuple[str, ...]
+    columns: tuple[str, ...] = ()
 
-def _references(
-    child: DataFrame, parent: DataFrame, rule: ForeignKey, unique: UniqueKey | None
-) -> DataFrame:
-    """Child rows without a parent (a null child key is one), and, where the parent key has
-    a uniqueness rule, its duplicate groups from the same pass.
+    def parts(self) -> list[str]:
+        return [f"{'text' if k == 'text' else 'number'}{i}" for i, k in enumerate(self.kinds)]
 
-    Both sides are counted per key first, so the join is one row to one row on the
-    partitioning the counts already have.
+    def no_parent(self) -> Column:
+        """Nothing owns the key; a null part matches nothing."""
+        missing = reduce(Column.__or__, [F.col(c).isNull() for c in self.parts()])
+        return (F.col("owners") == 0) | missing
+
+
+class _Audit:
+    """Tagged co-aggregation: what rules count, as slots of one aggregate over all tables.
+
+    A row of a table becomes one tagged row per key that it owns or refers to: (relation, key,
+    counts). The first of them also carries what the row rules of its table say. All tables go
+    through one partial aggregate, one exchange by relation and key, and one final aggregate, in
+    which duplicates and orphans can be told from the counts of a key. A hot key is one row per
+    task, and each table is read once, however many rules it has.
     """
-    parents = _key_counts(parent, rule.parent_columns, "copies", "p")
-    children = _key_counts(child, rule.columns, "rows", "c")
-    match = reduce(
-        Column.__and__, [F.col(f"p{i}") == F.col(f"c{i}") for i in range(len(rule.columns))]
-    )
-    counted = parents.join(children, match, "right" if unique is None else "full").agg(
-        F.coalesce(
-            F.sum(F.when(F.col("copies").isNull(), F.col("rows"))), F.lit(0).cast("bigint")
-        ).alias("orphans"),
-        F.count_if(F.col("copies") > 1).alias("duplicates"),
-    )
-    findings = [_counted(rule, F.col("orphans"))]
-    if unique is not None:
-        findings.append(_counted(unique, F.col("duplicates")))
-    return counted.select(F.inline(F.array(*findings)))
 
+    def __init__(self, tables: Mapping[str, DataFrame], rules: list[Rule]):
+        self.tables = tables
+        self.relations: dict[tuple, _Relation] = {}
+        # Per table: (relation, columns, slot) of its tagged rows.
+        self.tagged: dict[str, list[tuple[_Relation, tuple[str, ...], str]]] = {}
+        self.row_rules: dict[str, list[tuple[str, Rule]]] = {}
+        self.answers = [self._answer(i, rule) for i, rule in enumerate(rules)]
 
-def run_rules(tables: Mapping[str, DataFrame], rules: Iterable[Rule]) -> DataFrame:
-    """One row per rule: name, passed, flag, violations, detail, critical."""
-    rules = list(rules)
-    parts: list[DataFrame] = []
-    one_scan: dict[str, list[Rule]] = {}
-    unique = [r for r in rules if isinstance(r, UniqueKey)]
-    for rule in rules:
+    def _answer(self, i: int, rule: Rule) -> tuple[Rule, list[Column]]:
+        """The rule and its measures over the counts of all keys."""
         if isinstance(rule, (RowRule, NewestYear)):
-            one_scan.setdefault(rule.table, []).append(rule)
-        elif isinstance(rule, ForeignKey):
-            # The first reference to a unique key takes that key's check along.
-            key = (rule.parent, rule.parent_columns)
-            shared = next((u for u in unique if (u.table, u.columns) == key), None)
-            if shared is not None:
-                unique.remove(shared)
-            parts.append(_references(tables[rule.table], tables[rule.parent], rule, shared))
-        elif not isinstance(rule, UniqueKey):
-            raise TypeError(f"unknown rule type: {type(rule).__name__}")
-    parts += [_duplicate_groups(tables[rule.table], rule) for rule in unique]
-    parts += [_one_scan(tables[table], group) for table, group in one_scan.items()]
-    return _report(parts)
+            self.row_rules.setdefault(rule.table, []).append((f"rule{i}", rule))
+            if isinstance(rule, RowRule):
+                return rule, [F.sum(f"rule{i}")]
+            return rule, [F.min(f"rule{i}_lo"), F.max(f"rule{i}_hi")]
+        if isinstance(rule, UniqueKey):
+            relation = self._relation(rule.table, rule.columns, rule.table, rule.columns)
+            own = F.col("relation") == relation.number
+            return rule, [F.count_if(own & (F.col("owners") > 1))]
+        if isinstance(rule, ForeignKey):
+            relation = self._relation(rule.parent, rule.parent_columns, rule.table, rule.columns)
+            self.tagged.setdefault(rule.table, []).append((relation, rule.columns, f"rule{i}"))
+            own = F.col("relation") == relation.number
+            return rule, [F.sum(F.when(own & relation.no_parent(), F.col(f"rule{i}")))]
+        raise TypeError(f"unknown rule type: {type(rule).__name__}")
+
+    def _relation(
+        self, table: str, columns: tuple[str, ...], other: str, other_columns: tuple[str, ...]
+    ) -> _Relation:
+        """The relation of a key, in the form that both sides' types allow."""
+        one, two = dict(self.tables[table].dtypes), dict(self.tables[other].dtypes)
+        kinds = tuple(
+            _kind(one[a]) if _kind(one[a]) == _kind(two[b]) else "text"
+            for a, b in zip(columns, other_columns, strict=True)
+        )
+        key = (table, columns, kinds)
+        if key not in self.relations:
+            relation = _Relation(len(self.relations), kinds, columns)
+            self.relations[key] = relation
+            self.tagged.setdefault(table, []).append((relation, columns, "owners"))
+        return self.relations[key]
+
+    def _slots(self) -> list[str]:
+        counts = {slot for rows in self.tagged.values() for *_, slot in rows}
+        whole = [n for rows in self.row_rules.values() for n, r in rows if isinstance(r, RowRule)]
+        return sorted(counts | {"owners", *whole})
+
+    def _stamps(self) -> dict[str, str]:
+        """Type of each timestamp that is carried, by slot."""
+        return {
+            name: dict(self.tables[table].dtypes)[rule.columns[0]]
+            for table, rows in self.row_rules.items()
+            for name, rule in rows
+            if isinstance(rule, NewestYear)
+        }
+
+    def _rows(self, table: str) -> DataFrame:
+        """The tagged rows of one table, from one scan of it."""
+        tagged = self.tagged.get(table) or [(_Relation(-1, ()), (), "")]
+        width = max((len(r.kinds) for r in self.relations.values()), default=0)
+        entries = []
+        for first, (relation, columns, slot) in zip([True] + [False] * len(tagged), tagged):
+            parts = dict(zip(relation.parts(), map(_part, columns, relation.kinds), strict=True))
+            rules = dict(self.row_rules.get(table, [])) if first else {}
+            values = [F.lit(relation.number).alias("relation")]
+            for i in range(width):
+                for name, kind in ((f"number{i}", "bigint"), (f"text{i}", "string")):
+                    values.append(parts.get(name, F.lit(None)).cast(kind).alias(name))
+            for name in self._slots():
+                rule = rules.get(name)
+                one = rule.broken() if rule else F.lit(name == slot)
+                values.append(F.coalesce(one, F.lit(False)).cast("bigint").alias(name))
+            for name, kind in self._stamps().items():
+                stamp = F.col(rules[name].columns[0]) if name in rules else F.lit(None).cast(kind)
+                values += [stamp.alias(f"{name}_lo"), stamp.alias(f"{name}_hi")]
+            entries.append(F.struct(*values))
+        return self.tables[table].select(F.inline(F.array(*entries)))
+
+    def findings(self) -> DataFrame:
+        """One row per rule, from one row of figures."""
+        names = sorted({*self.tagged, *self.row_rules})
+        rows = reduce(DataFrame.union, map(self._rows, names))
+        keys = [c for c in rows.columns if c == "relation" or c.rstrip("0123456789") in ("number", "text")]
+        sums = [F.sum(c).alias(c) for c in self._slots()]
+        for name in self._stamps():
+            sums += [F.min(f"{name}_lo").alias(f"{name}_lo"), F.max(f"{name}_hi").alias(f"{name}_hi")]
+        figures = rows.groupBy(*keys).agg(*sums).agg(
+            *[m.alias(f"m{i}_{k}") for i, (_, ms) in enumerate(self.answers) for k, m in enumerate(ms)]
+        )
+        found = []
+        for i, (rule, _) in enumerate(self.answers):
+            first = F.col(f"m{i}_0")
+            if isinstance(rule, NewestYear):
+                found.append(_freshness(rule, first, F.col(f"m{i}_1")))
+            else:
+                found.append(_counted(rule, F.coalesce(first, F.lit(0).cast("bigint"))))
+        return figures.select(F.inline(F.array(*found)))
+
+
+def run_rules(tables: Mapping[str, DataFrame], rules: Iterable[Rule]) -> DataFrame:
+    """One row per rule: name, passed, flag, violations, detail, critical. Every table that a rule
+    names is read once, and all keys meet in one exchange."""
+    return _report([_Audit(tables, list(rules)).findings()])
 
 
 def _report(parts: list[DataFrame]) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as registry
 from marketmill.marts import QUERIES
-from marketmill.plans import kpis
+from marketmill.plans import kpis, quality
 from marketmill.sinks.star_files import save_bucketed
 from tests.conftest import SMALL
 
@@ -58,6 +58,23 @@ def test_fact_orders_joins_without_moving_rows_again(no_broadcast):
     assert "Exchange" not in top.split("SortMergeJoin [o_orderkey")[0]
 
 
+def test_the_audit_reads_each_table_once_and_moves_keys_once(no_broadcast, fixture_run):
+    tables = fixture_run[1].tables
+    rules = quality.standard_rules() + quality.relation_rules()
+    plan = plan_of(quality.run_rules(tables, rules))
+    assert plan.count("FileScan") == len(tables) == 6
+    assert len(re.findall(r"Exchange hashpartitioning\(relation", plan)) == 1
+    assert plan.count("Exchange") == 2  # the other one is of one row per task
+    assert "SortAggregate" not in plan and "Join" not in plan
+
+
+def test_the_gate_reads_lines_and_orders_twice_at_most(no_broadcast):
+    plan = plan_of(registry.queries()["dq_gate"](no_broadcast, SMALL))
+    scans = re.findall(r"FileScan.*?Location: [^]]*?([a-z_]+(?:\.parquet)?)]", plan)
+    assert scans and max(scans.count(name) for name in set(scans)) <= 2
+    assert plan.count("FileScan") <= 7
+
+
 def test_people_meet_their_state_on_one_partitioning(no_broadcast):
     plan = plan_of(registry.queries()["kpi_gmv_by_state"](no_broadcast, SMALL))
     assert len(re.findall(r"Exchange hashpartitioning\(customer_sk", plan)) == 2
