@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -102,3 +103,49 @@ def top_with_total(
         .where(~is_total)
         .drop("level")
     )
+
+
+# Of a smallest row: bits of the hash that tells apart rows of one id, and leading bytes of a text
+# id that are compared as a number.
+ROW_BITS = 62
+LEADING_BYTES = 7
+FIXED_WIDTH = ("tinyint", "smallint", "int", "bigint", "date")
+
+
+def smallest_row(
+    df: DataFrame, group: str, by: str, columns: Sequence[str], counted: str
+) -> DataFrame:
+    """Per group, ``columns`` of the row with the smallest ``by``, taken whole, and the number of
+    different ``by`` as ``counted``. Rows of equal ``by`` are told apart by a hash of ``columns``
+    (by ``columns`` themselves where ``by`` is text). Null is no ``by``; a group without any keeps
+    one of its rows.
+
+    A minimum of text, or of a struct, makes every aggregate a sort of all rows with all columns.
+    Here the aggregates hold one number per group: the id and the hash of the row, or the leading
+    bytes of a text id. They stay hashed, and ``columns`` are fetched by one equi-join, on the group
+    and that number, so that a hot group is spread over its numbers. A text id may share its
+    leading bytes with others of its group; those few rows are compared in full after the join,
+    which has already put them in order.
+    """
+    kind = dict(df.dtypes)[by]
+    exact = kind in FIXED_WIDTH
+    if exact:
+        whole = F.unix_date(by) if kind == "date" else F.col(by)
+        row = F.xxhash64(*columns).bitwiseAND(F.lit((1 << ROW_BITS) - 1))
+        # 63 and 62 bits are below 38 digits; a row without an id comes after all others.
+        whole = F.coalesce(whole.cast("decimal(19,0)"), F.lit(Decimal(1 << 63)))
+        number = whole * F.lit(Decimal(1 << ROW_BITS)) + row
+    else:
+        leading = F.rpad(F.hex(F.substring(F.col(by).cast("binary"), 1, LEADING_BYTES)), 2 * LEADING_BYTES, "0")
+        number = F.conv(leading, 16, 10).cast("bigint")
+    rows = df.select(group, by, *columns, number.alias("number"))
+    best = rows.groupBy(F.col(group).alias("best_group")).agg(
+        F.min("number").alias("best_number"), F.count_distinct(by).alias(counted)
+    )
+    same = F.col(group).eqNullSafe(F.col("best_group")) & F.col("number").eqNullSafe(F.col("best_number"))
+    found = rows.join(best, same)
+    if exact:
+        # Rows given twice are one; nothing is exchanged again, and nothing sorted.
+        return found.select(group, *columns, counted).distinct()
+    pick = F.min(F.struct(by, *columns)).alias("pick")
+    return found.groupBy(group, counted).agg(pick).select(group, *[f"pick.{c}" for c in columns], counted)

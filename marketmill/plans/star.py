@@ -13,28 +13,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marketmill.functions import from_minor, minor_units, money_sum, month_label
+from marketmill.operators.selection import smallest_row
 
 
 def dim_customers(raw_customers: DataFrame) -> DataFrame:
     """One row per person. The address is that of the smallest customer_id, taken whole."""
-    pick = F.min(
-        F.struct(
-            "customer_id",
-            "customer_zip_code_prefix",
-            "customer_city",
-            "customer_state",
-        )
-    )
-    return (
-        raw_customers.groupBy(F.col("customer_unique_id").alias("customer_sk"))
-        .agg(pick.alias("pick"), F.count_distinct("customer_id").alias("n_customer_ids"))
-        .select(
-            "customer_sk",
-            F.col("pick.customer_zip_code_prefix").alias("zip_code_prefix"),
-            F.col("pick.customer_city").alias("city"),
-            F.col("pick.customer_state").alias("state"),
-            "n_customer_ids",
-        )
+    address = ("customer_zip_code_prefix", "customer_city", "customer_state")
+    return smallest_row(
+        raw_customers, "customer_unique_id", "customer_id", address, "n_customer_ids"
+    ).select(
+        F.col("customer_unique_id").alias("customer_sk"),
+        F.col("customer_zip_code_prefix").alias("zip_code_prefix"),
+        F.col("customer_city").alias("city"),
+        F.col("customer_state").alias("state"),
+        "n_customer_ids",
     )
 
 

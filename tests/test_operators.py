@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from marketmill.functions import day_gap, from_minor, lateness_bucket, minor_units, round_half
 from marketmill.operators.calendar import missing_months, monthly_counts
 from marketmill.operators.histogram import equal_width_histogram
-from marketmill.operators.selection import exact_median, top_with_total
+from marketmill.operators.selection import exact_median, smallest_row, top_with_total
 
 
 def money_frame(spark, values):
@@ -125,3 +125,54 @@ def test_missing_months_over_year_end(spark):
     )
     found = missing_months(monthly_counts(df, "d")).orderBy("month").collect()
     assert [str(r.month) for r in found] == ["2016-11-01", "2016-12-01", "2017-01-01"]
+
+
+def smallest_rows(rows):
+    """{group: (address, different ids)} with the smallest id that is not null."""
+    found = {}
+    for group, i, *address in rows:
+        found.setdefault(group, []).append((i is None, i, tuple(address)))
+    out = {}
+    for group, members in found.items():
+        least = min((m[:2] for m in members if not m[0]), default=(True, None))
+        choice = {m[2] for m in members if m[:2] == least}
+        out[group] = (choice, len({m[1] for m in members if not m[0]}))
+    return out
+
+
+@pytest.mark.parametrize("kind", ["bigint", "string", "date", "int"])
+def test_smallest_row(spark, kind):
+    import datetime
+    import random
+
+    r = random.Random(kind)
+
+    def an_id():
+        n = r.randint(-40, 40)
+        if kind == "string":  # many share their first bytes; some are short, empty or not ASCII
+            return r.choice(["", "id", "é", "customer", "customer-long-"]) + str(abs(n))[: r.randint(0, 2)]
+        return datetime.date(2020, 1, 1) + datetime.timedelta(n) if kind == "date" else n
+
+    ids = [an_id() for _ in range(60)] + [None]
+    rows = [(r.choice(["a", "b", "c", None]), i, f"zip{k}", r.choice([None, "x"])) for k, i in enumerate(ids)]
+    rows += [("only nulls", None, "z", "q"), ("only nulls", None, "y", None), ("hot", ids[0], "1", "2")]
+    rows += rows[:20] + [("hot", ids[0], "1", "2")] * 50
+    df = spark.createDataFrame(rows, f"g string, i {kind}, zip string, state string").repartition(7)
+    got = smallest_row(df, "g", "i", ("zip", "state"), "n").collect()
+    want = smallest_rows(rows)
+    if kind == "string":
+        key = lambda m: m[1].encode()
+        for g in ("a", "b", "c", None):
+            least = min((row for row in rows if row[0] == g and row[1] is not None), key=key)[1]
+            want[g] = ({row[2:] for row in rows if row[0] == g and row[1] == least}, want[g][1])
+    assert len(got) == len(want)
+    for row in got:
+        choice, n = want[row["g"]]
+        assert (row["zip"], row["state"]) in choice and row["n"] == n
+    assert smallest_row(df.limit(0), "g", "i", ("zip", "state"), "n").count() == 0
+
+
+def test_smallest_row_of_fixed_width_ids_is_never_sorted_by_an_aggregate(spark):
+    df = spark.createDataFrame([(1, 2, "x")], "g bigint, i bigint, c string")
+    plan = smallest_row(df, "g", "i", ("c",), "n")._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan and "HashAggregate" in plan

@@ -75,6 +75,10 @@ def test_the_gate_reads_lines_and_orders_twice_at_most(no_broadcast):
     assert plan.count("FileScan") <= 7
 
 
+def test_the_address_of_a_person_is_picked_without_sorting(no_broadcast):
+    assert "SortAggregate" not in plan_of(registry.queries()["dim_customers"](no_broadcast, SMALL))
+
+
 def test_people_meet_their_state_on_one_partitioning(no_broadcast):
     plan = plan_of(registry.queries()["kpi_gmv_by_state"](no_broadcast, SMALL))
     assert len(re.findall(r"Exchange hashpartitioning\(customer_sk", plan)) == 2
