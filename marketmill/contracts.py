@@ -151,8 +151,8 @@ class RawFile:
     table: str
     pattern: str
     required: bool = True
-    # Free text may hold quoted line breaks. Such a file cannot be split between tasks, so
-    # only the table that needs it pays for it.
+    # Free text may hold quoted line breaks. Such a file is read as lines that are put together
+    # again, so only the table that needs it pays for it.
     multi_line: bool = False
 
     def file_name(self, prefix: str) -> str:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from marketmill.contracts import DAMAGED, RAW_COLUMNS, RAW_FILE_BY_TABLE, RAW_FILES, RawFile
+from marketmill.sources.split_csv import read_split_csv
 
 LANDED_AT = "_landed_at"
 LANDED_FROM = "_landed_from"
@@ -103,14 +104,20 @@ def read_raw(spark: SparkSession, folder: str, prefix: str) -> dict[str, DataFra
     """The raw tables the star needs, lazily, straight from CSV."""
     require_files(spark, folder, prefix)
     return {
-        table: _checked(
-            read_csv(spark, f"{folder}/{file.file_name(prefix)}", file.multi_line, DAMAGED), file
-        )
+        table: _checked(_read_file(spark, f"{folder}/{file.file_name(prefix)}", file), file)
         for table, file in RAW_FILE_BY_TABLE.items()
         if table in RAW_COLUMNS
     }
 
 
+def _read_file(spark: SparkSession, path: str, file: RawFile) -> DataFrame:
+    """Either way the file is split between tasks; a record of several lines takes two passes."""
+    if not file.multi_line:
+        return read_csv(spark, path, damaged=DAMAGED)
+    columns = read_csv(spark, path).columns  # of the header, which is one line
+    return read_split_csv(spark, path, columns, DAMAGED, LANDED_FROM)
+
+
 def land_raw(
     spark: SparkSession, folder: str, prefix: str, target: str
 ) -> dict[str, DataFrame]:
@@ -121,11 +128,8 @@ def land_raw(
     landed = {}
     for table, df in read_raw(spark, folder, prefix).items():
         path = f"{target}/{table}"
-        stamped = df.select(
-            "*",
-            F.col("_metadata.file_path").alias(LANDED_FROM),
-            F.current_timestamp().alias(LANDED_AT),
-        )
+        origin = [] if LANDED_FROM in df.columns else [F.col("_metadata.file_path").alias(LANDED_FROM)]
+        stamped = df.select("*", *origin, F.current_timestamp().alias(LANDED_AT))
         stamped.write.mode("overwrite").parquet(path)
         landed[table] = spark.read.parquet(path)
     return landed
