@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from marketmill.contracts import RAW_COLUMNS, STAR_COLUMNS
 from marketmill.operators.profile import profile_tables, row_counts
 from marketmill.plans import insights, kpis, lineage, quality, series, star
+from marketmill.sources import footers
 from marketmill.sources.raw_files import table_manifest
 from marketmill.sources.snapshot import Snapshot
 
@@ -43,12 +44,16 @@ class Marts:
         limits: Limits | None = None,
         snapshot: Snapshot | None = None,
         tables: Mapping[str, DataFrame] | None = None,
+        star_root: str | None = None,
+        raw_root: str | None = None,
     ):
-        """Star tables given here are used as they are, others are built from raw."""
+        """Star tables given here are used as they are, others are built from raw. Where the
+        tables are written ones, their roots let counts and bounds come from the footers."""
         self.spark = spark
         self.raw = raw
         self.limits = limits or Limits()
         self._snapshot = snapshot
+        self._star_root, self._raw_root = star_root, raw_root
         self._tables: dict[str, DataFrame] = dict(tables or {})
         self._locks = {name: threading.Lock() for name in (*STAR_COLUMNS, "product_totals")}
 
@@ -99,6 +104,22 @@ class Marts:
     def star_tables(self) -> dict[str, DataFrame]:
         return self.tables(*STAR_COLUMNS)
 
+    def row_counts(self) -> DataFrame:
+        if self._star_root:
+            return footers.written_counts(self.spark, self._star_root, STAR_COLUMNS)
+        return row_counts(self.star_tables())
+
+    def freshness(self) -> DataFrame:
+        if self._star_root:
+            return footers.written_freshness(self.spark, self._star_root)
+        return lineage.source_freshness(self.fact_orders)
+
+    def profile(self) -> DataFrame:
+        tables = {t: self.raw[t] for t in RAW_COLUMNS}
+        if self._raw_root:
+            return footers.written_profile(self.spark, self._raw_root, tables)
+        return profile_tables(tables)
+
     def dq_report(self) -> DataFrame:
         rules = quality.standard_rules(self.limits.first_year, self.limits.last_year)
         return quality.run_rules(self.star_tables(), rules + quality.relation_rules())
@@ -112,9 +133,9 @@ def _rollup_items(m: Marts) -> DataFrame:
 QUERIES: dict[str, Callable[[Marts], DataFrame]] = {
     # sources and lineage
     "manifest_check": lambda m: table_manifest(m.spark, m.raw),
-    "table_profile": lambda m: profile_tables({t: m.raw[t] for t in RAW_COLUMNS}),
-    "table_row_counts": lambda m: row_counts(m.star_tables()),
-    "source_freshness": lambda m: lineage.source_freshness(m.fact_orders),
+    "table_profile": lambda m: m.profile(),
+    "table_row_counts": lambda m: m.row_counts(),
+    "source_freshness": lambda m: m.freshness(),
     # star
     "dim_customers": lambda m: m.plan("dim_customers"),
     "dim_products": lambda m: m.plan("dim_products"),

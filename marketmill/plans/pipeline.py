@@ -105,7 +105,7 @@ def run_pipeline(
     if not intact.where("not passed").isEmpty():
         return Run(version, False, _audit(spark, intact, root), {})
     tables = star_files.write_star(raw, root, csv)
-    reports.write_section(star_files.pipeline_metadata(tables), root, "pipeline_metadata")
+    reports.write_section(star_files.pipeline_metadata(tables, root), root, "pipeline_metadata")
 
     limits = limits or Limits()
     if rules is None:
@@ -156,7 +156,7 @@ def current_marts(
     root = publish.version_root(lake, version)
     tables = star_files.read_star(spark, root)
     raw = raw_files.read_landed(spark, f"{root}/raw")
-    return Marts(spark, raw, limits, snapshot, tables)
+    return Marts(spark, raw, limits, snapshot, tables, root, f"{root}/raw")
 
 
 def report_header(spark: SparkSession, star_dir: str) -> DataFrame:

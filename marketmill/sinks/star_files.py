@@ -18,6 +18,7 @@ from marketmill.contracts import STAR_COLUMNS
 from marketmill.operators.profile import row_counts
 from marketmill.plans import star
 from marketmill.plans.lineage import source_freshness
+from marketmill.sources import footers
 
 
 def write_table(df: DataFrame, root: str, name: str, csv: bool = False) -> DataFrame:
@@ -83,11 +84,15 @@ def star_schema(name: str) -> T.StructType:
     return T.StructType.fromDDL(ddl)
 
 
-def pipeline_metadata(tables: Mapping[str, DataFrame]) -> DataFrame:
-    """One row per star table: rows, build time, and the freshness stamp of the orders."""
-    fresh = source_freshness(tables["fact_orders"]).withColumn("table_name", F.lit("fact_orders"))
+def pipeline_metadata(tables: Mapping[str, DataFrame], root: str | None = None) -> DataFrame:
+    """One row per star table: rows, build time, and the freshness stamp of the orders. With the
+    root that the tables were written to, from the footers there."""
+    spark = tables["fact_orders"].sparkSession
+    counts = footers.written_counts(spark, root, tables) if root else row_counts(tables)
+    fresh = footers.written_freshness(spark, root) if root else source_freshness(tables["fact_orders"])
+    fresh = fresh.withColumn("table_name", F.lit("fact_orders"))
     return (
-        row_counts(tables)
+        counts
         .withColumnRenamed("n", "rows")
         .join(fresh, "table_name", "left")
         .withColumn("built_at", F.current_timestamp())
