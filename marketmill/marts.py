@@ -18,7 +18,8 @@ from marketmill.sources.snapshot import Snapshot
 
 # Tables whose build shuffles, and which many queries read. The others are projections of a
 # scan, which Catalyst prunes better than any copy.
-SETTLED = ("dim_customers", "dim_products", "fact_orders", "product_totals")
+SETTLED = ("dim_customers", "dim_products", "fact_orders", "product_totals", "order_values")
+ROLLUPS = ("product_totals", "order_values")
 
 
 @dataclass(frozen=True)
@@ -55,12 +56,14 @@ class Marts:
         self._snapshot = snapshot
         self._star_root, self._raw_root = star_root, raw_root
         self._tables: dict[str, DataFrame] = dict(tables or {})
-        self._locks = {name: threading.Lock() for name in (*STAR_COLUMNS, "product_totals")}
+        self._locks = {name: threading.Lock() for name in (*STAR_COLUMNS, *ROLLUPS)}
 
     def plan(self, table: str) -> DataFrame:
-        """The lazy build of a table: a star table from raw, product totals from the star."""
+        """The lazy build of a table: a star table from raw, a shared rollup from the star."""
         if table == "product_totals":
             return kpis.product_totals(self.fact_order_items, self.fact_orders)
+        if table == "order_values":
+            return insights.order_values(self.fact_orders)
         return star.BUILDERS[table](self.raw)
 
     def table(self, name: str) -> DataFrame:
@@ -101,6 +104,10 @@ class Marts:
     def product_totals(self) -> DataFrame:
         return self.table("product_totals")
 
+    @property
+    def order_values(self) -> DataFrame:
+        return self.table("order_values")
+
     def star_tables(self) -> dict[str, DataFrame]:
         return self.tables(*STAR_COLUMNS)
 
@@ -203,7 +210,7 @@ QUERIES: dict[str, Callable[[Marts], DataFrame]] = {
     "seller_concentration": lambda m: insights.seller_concentration(m.fact_order_items),
     "top_states": lambda m: insights.top_states(m.fact_orders, m.dim_customers),
     "top3_states_share": lambda m: insights.top_states_share(m.fact_orders, m.dim_customers),
-    "order_value": lambda m: insights.order_value(m.fact_orders),
+    "order_value": lambda m: insights.order_value(m.order_values),
     "payment_mix": lambda m: insights.payment_mix(m.fact_orders),
     "promise_window_by_bucket": lambda m: insights.promise_window_by_bucket(m.fact_orders),
     "state_mix_by_bucket": lambda m: insights.state_mix_by_bucket(
@@ -226,7 +233,7 @@ QUERIES: dict[str, Callable[[Marts], DataFrame]] = {
         m.fact_orders, m.dim_customers, m.limits.state_min_orders, m.limits.highlight_state
     ),
     "fig_order_value_hist": lambda m: series.fig_order_value_hist(
-        m.fact_orders, m.limits.order_value_clip
+        m.order_values, m.limits.order_value_clip
     ),
-    "fig_order_value_lines": lambda m: series.fig_order_value_lines(m.fact_orders),
+    "fig_order_value_lines": lambda m: series.fig_order_value_lines(m.order_values),
 }

@@ -6,8 +6,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def equal_width_histogram(df: DataFrame, value: str, bins: int) -> DataFrame:
-    """(bin, bin_from, bin_to, n) for bins 1..bins, empty ones included.
+def equal_width_histogram(
+    df: DataFrame, value: str, bins: int, weight: str | None = None
+) -> DataFrame:
+    """(bin, bin_from, bin_to, n) for bins 1..bins, empty ones included; with a weight, a row
+    stands for that many.
 
     The last bin is closed on the right. A single distinct value is put in the middle of a
     range one unit wide. The range is a scalar subquery, so rows are only counted per bin.
@@ -37,7 +40,7 @@ def equal_width_histogram(df: DataFrame, value: str, bins: int) -> DataFrame:
         df.where(F.col(value).isNotNull())
         .withColumn("guess", guess)
         .groupBy((F.col("guess") + 1 + F.coalesce(shift, F.lit(0))).alias("bin"))
-        .agg(F.count("*").alias("n"))
+        .agg((F.sum(weight) if weight else F.count("*")).alias("n"))
     )
     edges = spark.range(1, bins + 1, numPartitions=1).select(F.col("id").alias("bin"))
     return edges.join(counts, "bin", "left").select(

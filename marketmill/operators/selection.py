@@ -10,59 +10,58 @@ from pyspark.sql import functions as F
 
 from marketmill.functions import from_minor, minor_units
 
-# The 64 bits of a value are cut into four digits of 16 bits.
-CUTS = (48, 32, 16, 0)
+
+def value_counts(df: DataFrame, money: Column | str) -> DataFrame:
+    """The value spectrum of a money column: (v, n), how often each amount occurs, in exact
+    ten-thousandths. A hot amount collapses before the shuffle. Count, sum, extremes, order
+    statistics and histograms of the column can all be read from it. Nulls are left out."""
+    money = F.col(money) if isinstance(money, str) else money
+    return (
+        df.where(money.isNotNull())
+        .groupBy(minor_units(money).alias("v"))
+        .agg(F.count("*").alias("n"))
+    )
 
 
 def exact_median(df: DataFrame, money: Column | str, name: str = "median") -> DataFrame:
-    """Interpolated median of a money column, as a one-row DataFrame.
+    """Interpolated median of a money column, as a one-row DataFrame."""
+    return median_of(value_counts(df, money), name)
 
-    The built-in exact percentile ships every distinct value to one task. Here equal values
-    are counted first (a hot value collapses before the shuffle), then the middle ranks are
-    located digit by digit: each window below sees the totals of at most 2^16 buckets
-    whatever the values are, never rows, and at most two buckets (those holding the middle
-    ranks) survive a cut.
+
+def median_of(counts: DataFrame, name: str = "median") -> DataFrame:
+    """Interpolated median of a value spectrum, as a one-row DataFrame.
+
+    The built-in exact percentile ships every distinct value to one task. Here the values are
+    cut into ranges of about equal numbers of them, one per shuffle partition, and the first
+    round sums the counts per range. Running totals over these few rows tell the ranges that hold
+    the middle ranks, one or two neighbours; the second round runs over their values only.
     """
-    money = F.col(money) if isinstance(money, str) else money
-    counts = (
-        df.where(money.isNotNull()).groupBy(minor_units(money).alias("v")).agg(
-            F.count("*").alias("n")
-        )
-    )
     lower = F.expr("(total - 1) div 2")
     upper = F.expr("total div 2")
     holds_middle = (F.col("before") <= upper) & (lower < F.col("before") + F.col("n"))
 
-    first = counts.groupBy(F.shiftright("v", CUTS[0]).alias("bucket")).agg(
-        F.sum("n").alias("n")
-    )
-    picked = first.select(
-        "bucket",
-        "n",
-        (F.sum("n").over(Window.orderBy("bucket")) - F.col("n")).alias("before"),
-        F.sum("n").over(Window.partitionBy()).alias("total"),
-    ).where(holds_middle)
-    for coarse, fine in zip(CUTS, CUTS[1:]):
-        picked = _narrow(counts, picked, coarse, fine).where(holds_middle)
-    ends = picked.agg(
-        from_minor(F.min("bucket")).alias("lo"), from_minor(F.max("bucket")).alias("hi")
+    ranges = (
+        counts.repartitionByRange("v")
+        .groupBy(F.spark_partition_id().alias("range"))
+        .agg(F.sum("n").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"))
     )
-    return ends.select((F.col("lo") + (F.col("hi") - F.col("lo")) * 0.5).alias(name))
-
-
-def _narrow(counts: DataFrame, picked: DataFrame, coarse: int, fine: int) -> DataFrame:
-    """Totals per fine bucket inside the picked coarse ones, with the rank before each."""
-    # At most two rows by construction (adjacent ranks), hence the hint.
-    found = F.broadcast(picked.select(F.col("bucket").alias("outer"), "before", "total"))
-    split = (
-        counts.join(found, F.shiftright("v", coarse) == F.col("outer"))
-        .groupBy("outer", "before", "total", F.shiftright("v", fine).alias("bucket"))
-        .agg(F.sum("n").alias("n"))
+    so_far = F.sum("n").over(Window.orderBy("lo"))
+    middle = (
+        ranges.withColumns(
+            {"before": so_far - F.col("n"), "total": F.sum("n").over(Window.partitionBy())}
+        )
+        .where(holds_middle)
+        .agg(F.struct(*[F.min(c).alias(c) for c in ("lo", "before", "total")], F.max("hi").alias("hi")))
+        .scalar()
     )
-    running = F.sum("n").over(Window.partitionBy("outer").orderBy("bucket"))
-    return split.select(
-        "bucket", "n", (F.col("before") + running - F.col("n")).alias("before"), "total"
+    inside = counts.where(F.col("v").between(middle.getField("lo"), middle.getField("hi")))
+    running = F.sum("n").over(Window.orderBy("v")) - F.col("n") + middle.getField("before")
+    ends = (
+        inside.withColumns({"before": running, "total": middle.getField("total")})
+        .where(holds_middle)
+        .agg(from_minor(F.min("v")).alias("lo"), from_minor(F.max("v")).alias("hi"))
     )
+    return ends.select((F.col("lo") + (F.col("hi") - F.col("lo")) * 0.5).alias(name))
 
 
 def top_with_total(

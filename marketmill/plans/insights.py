@@ -21,7 +21,7 @@ from marketmill.functions import (
     stable_average,
 )
 from marketmill.operators.calendar import missing_months, monthly_counts
-from marketmill.operators.selection import exact_median, top_with_total
+from marketmill.operators.selection import median_of, top_with_total, value_counts
 from marketmill.plans.kpis import (
     category_totals,
     person_totals,
@@ -364,16 +364,22 @@ def top_states_share(fact_orders: DataFrame, dim_customers: DataFrame, top: int
 # --- order value ----------------------------------------------------------------------
 
 
-def order_value(fact_orders: DataFrame) -> DataFrame:
-    """Orders without items count as zero here."""
-    delivered = with_status(fact_orders).select("gmv_items")
-    median = round_half(exact_median(delivered, "gmv_items").scalar(), 2)
-    mean = F.try_divide(
-        from_minor(F.sum(minor_units("gmv_items"))), F.count("gmv_items")
-    )
-    return delivered.agg(
-        round_half(mean, 2).alias("mean_order_gmv"),
-        round_half(F.max("gmv_items"), 2).alias("max_order_gmv"),
+def order_values(fact_orders: DataFrame) -> DataFrame:
+    """The spectrum (v, n) of delivered order values; orders without items count as zero."""
+    return value_counts(with_status(fact_orders), "gmv_items")
+
+
+def mean_of_values() -> Column:
+    """The mean of a spectrum, from exact sums."""
+    return F.try_divide(from_minor(F.sum(F.col("v") * F.col("n"))), F.sum("n"))
+
+
+def order_value(values: DataFrame) -> DataFrame:
+    """From ``order_values``."""
+    median = round_half(median_of(values).scalar(), 2)
+    return values.agg(
+        round_half(mean_of_values(), 2).alias("mean_order_gmv"),
+        round_half(from_minor(F.max("v")), 2).alias("max_order_gmv"),
     ).select(
         "mean_order_gmv",
         median.alias("median_order_gmv"),

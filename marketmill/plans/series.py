@@ -10,19 +10,19 @@ from marketmill.functions import (
     day_gap,
     from_minor,
     lateness_bucket,
-    minor_units,
     percent,
     round_half,
     stable_average,
 )
 from marketmill.operators.histogram import equal_width_histogram
-from marketmill.operators.selection import exact_median
+from marketmill.operators.selection import median_of
 from marketmill.plans.insights import (
     STATE_MIN_ORDERS,
     THIN_MONTH_MIN,
     coverage_monthly,
     delivery_by_state,
     identity_summary,
+    mean_of_values,
     reviewed_deliveries,
     with_lateness,
 )
@@ -119,21 +119,18 @@ def fig_state_bubbles(
 
 
 def fig_order_value_hist(
-    fact_orders: DataFrame, clip: float = ORDER_VALUE_CLIP, bins: int = ORDER_VALUE_BINS
+    values: DataFrame, clip: float = ORDER_VALUE_CLIP, bins: int = ORDER_VALUE_BINS
 ) -> DataFrame:
-    """Orders above zero and up to the clip, in equal bins over the range they cover."""
+    """Orders above zero and up to the clip, in equal bins over the range they cover; from
+    ``order_values``."""
     value = F.col("gmv_items")
-    shown = with_status(fact_orders).where((value > 0) & (value <= clip)).select("gmv_items")
-    return equal_width_histogram(shown, "gmv_items", bins).withColumnRenamed("n", "orders")
+    shown = values.select(from_minor("v").alias("gmv_items"), "n").where((value > 0) & (value <= clip))
+    return equal_width_histogram(shown, "gmv_items", bins, "n").withColumnRenamed("n", "orders")
 
 
-def fig_order_value_lines(fact_orders: DataFrame) -> DataFrame:
-    """The two marker lines: mean and median over all delivered orders, unrounded."""
-    delivered = with_status(fact_orders).select("gmv_items")
-    mean = F.try_divide(
-        from_minor(F.sum(minor_units("gmv_items"))), F.count("gmv_items")
-    )
-    return delivered.agg(mean.alias("mean_order_gmv")).select(
-        "mean_order_gmv",
-        exact_median(delivered, "gmv_items").scalar().alias("median_order_gmv"),
+def fig_order_value_lines(values: DataFrame) -> DataFrame:
+    """The two marker lines: mean and median over all delivered orders, unrounded; from
+    ``order_values``."""
+    return values.agg(mean_of_values().alias("mean_order_gmv")).select(
+        "mean_order_gmv", median_of(values).scalar().alias("median_order_gmv")
     )

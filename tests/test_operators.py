@@ -47,6 +47,14 @@ def test_exact_median(spark, values):
     assert found == pytest.approx(statistics.median(values), abs=1e-9)
 
 
+def test_median_of_many_values_with_a_hot_one(spark):
+    r = random.Random(4)
+    values = [r.randint(-10**9, 10**9) / 100 for _ in range(20_001)]
+    for hot in ([], [12.34] * 9_000, [max(values)] * 30_000):
+        found = exact_median(money_frame(spark, values + hot).repartition(5), "v").first().median
+        assert found == pytest.approx(statistics.median(values + hot), abs=1e-9)
+
+
 def test_exact_median_skips_nulls_and_may_be_empty(spark):
     assert exact_median(money_frame(spark, [None, 2.0, None, 4.0]), "v").first().median == 3.0
     assert exact_median(money_frame(spark, [None]), "v").first().median is None

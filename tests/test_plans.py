@@ -33,9 +33,8 @@ def test_no_cross_join_and_no_python(no_broadcast, name):
         assert banned not in plan
 
 
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - {"order_value", "fig_order_value_lines"}))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_nothing_is_broadcast_by_hint(no_broadcast, name):
-    # The median's broadcasts hold two rows at most; no other query asks for one.
     assert "BroadcastExchange" not in plan_of(registry.queries()[name](no_broadcast, SMALL))
 
 
@@ -79,6 +78,14 @@ def test_the_address_of_a_person_is_picked_without_sorting(no_broadcast):
     assert "SortAggregate" not in plan_of(registry.queries()["dim_customers"](no_broadcast, SMALL))
 
 
+@pytest.mark.parametrize("name", ["order_value", "fig_order_value_hist", "fig_order_value_lines"])
+def test_order_values_come_from_one_table_in_two_rounds(no_broadcast, name):
+    plan = plan_of(registry.queries()[name](no_broadcast, SMALL))
+    scans = re.findall(r"Location: [^]]*?/(\w+)]", plan)
+    assert set(scans) == {"order_values"}
+    assert plan.count("Exchange rangepartitioning(v") <= 2  # in the query, and in its subquery
+
+
 def test_people_meet_their_state_on_one_partitioning(no_broadcast):
     plan = plan_of(registry.queries()["kpi_gmv_by_state"](no_broadcast, SMALL))
     assert len(re.findall(r"Exchange hashpartitioning\(customer_sk", plan)) == 2
