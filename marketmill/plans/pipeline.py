@@ -92,11 +92,13 @@ def run_pipeline(
 
     Everything lands below the build's own version, the raw layer too, so that a build that is
     not published changes nothing readers see. The audit report and the gate's figures are
-    written with the build either way; publication needs zero critical failures.
+    written with the build either way; publication needs zero critical failures, and that no other
+    build has been published since this one began.
     """
     stamp = datetime.now(timezone.utc).strftime("%Y%m%dT%H%M%S")
     version = f"{stamp}-{uuid.uuid4().hex[:8]}"
     root = publish.version_root(lake, version)
+    began_from = publish.newest(spark, lake)
 
     raw = raw_files.land_raw(spark, source, prefix, f"{root}/raw")
     # Rows that cannot be read as what they should be end the run before a cast does.
@@ -114,7 +116,7 @@ def run_pipeline(
     report = _audit(spark, quality.run_rules(tables, rules).unionByName(intact), root)
     allowed = _publishable(spark, root)
     if allowed:
-        publish.publish(spark, lake, version)
+        publish.publish(spark, lake, version, began_from)
     return Run(version, allowed, report, tables)
 
 

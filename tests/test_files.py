@@ -255,6 +255,39 @@ def test_newest_publication_wins(spark, tmp_path):
     publish.publish(spark, lake, "b")
     publish.publish(spark, lake, "a")
     assert publish.current_version(spark, lake) == "a"
+    assert publish.history(spark, lake) == ["b", "a"]
+
+
+def test_of_two_builds_that_race_one_is_published(spark, tmp_path):
+    from concurrent.futures import ThreadPoolExecutor
+
+    lake = str(tmp_path)
+    publish.publish(spark, lake, "first")
+    began_from = publish.newest(spark, lake)
+
+    def attempt(version):
+        try:
+            publish.publish(spark, lake, version, began_from)
+            return version
+        except publish.PublicationConflict:
+            return None
+
+    with ThreadPoolExecutor(4) as pool:
+        done = [v for v in pool.map(attempt, ["w", "x", "y", "z"]) if v]
+    assert len(done) == 1 and publish.current_version(spark, lake) == done[0]
+    assert publish.history(spark, lake) == ["first", *done]
+    assert list((tmp_path / "publishing").glob("*-*")) == []
+
+
+def test_an_older_build_that_ends_later_is_refused(spark, tmp_path):
+    lake = str(tmp_path)
+    older = publish.newest(spark, lake)  # began before anything was published
+    publish.publish(spark, lake, "newer", publish.newest(spark, lake))
+    with pytest.raises(publish.PublicationConflict, match="older began from None, but newer"):
+        publish.publish(spark, lake, "older", older)
+    assert publish.current_version(spark, lake) == "newer"
+    publish.publish(spark, lake, "older", publish.newest(spark, lake))  # after a look at the newer one
+    assert publish.history(spark, lake) == ["newer", "older"]
 
 
 def test_duplicate_translation_breaks_the_product_key(spark, tmp_path):
