@@ -12,8 +12,9 @@ are one node from the start, so copies are never compared.
    posterior chance that its similarity reaches the threshold (uniform prior, binomial
    agreement) is below ``MISS``. What survives is verified on the full sets.
 3. Only texts of a bucket that are still in different classes can add a link that matters. They
-   meet in blocks of bounded size, again by batches of signatures, and the survivors are
-   verified as in 2. So a large group of near copies costs its size, and no link is lost.
+   meet in blocks of bounded size, each pair in the bucket of its first common band, again by
+   batches of signatures; survivors are verified on their full sets in the block, which hands on
+   what joins its members and nothing more. No link is lost.
 
 Defined results: null and empty texts and texts without words have an empty set and are linked
 with nothing. Rows that repeat an id are one document, linked with whatever either is. A row
@@ -28,11 +29,11 @@ from math import comb
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from marketmill.llm.components import components
-from marketmill.llm.shared import settle
+from marketmill.llm.shared import settle, ship
 
 WORDS = 5
 SIMILARITY = 0.75
@@ -193,22 +194,25 @@ def _not_given_up(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     return joined.select("a", "b", "of_a", "of_b").mapInPandas(verify, "a long, b long")
 
 
-def _links(pairs: DataFrame, docs: DataFrame) -> DataFrame:
-    """The pairs (a, b) that are similar enough on their full sets. A set is hashed again from
-    its text, for nodes in a pair only."""
+def _sets(ids: DataFrame, texts: DataFrame) -> DataFrame:
+    """(id, hashes): the full sets of some nodes, hashed again from their texts."""
 
     def sets_of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             sets = [shingles(words_of(t)).view(np.int64) for t in batch["text"]]
             yield pd.DataFrame({"id": batch["id"], "hashes": sets})
 
-    pairs = settle(pairs)
-    wanted = settle(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct())
+    wanted = settle(ids.distinct())
     if wanted.count() <= BROADCAST_IDS:
         wanted = F.broadcast(wanted)  # eight bytes each; beyond that, texts are exchanged by id
-    sets = settle(
-        docs.join(wanted, "id").select("id", "text").mapInPandas(sets_of, "id long, hashes array<long>")
-    )
+    rows = texts.join(wanted, "id").select("id", "text")
+    return settle(rows.mapInPandas(sets_of, "id long, hashes array<long>"))
+
+
+def _links(pairs: DataFrame, docs: DataFrame) -> DataFrame:
+    """The pairs (a, b) that are similar enough on their full sets."""
+    pairs = settle(pairs)
+    sets = _sets(pairs.select(F.col("a").alias("id")).union(pairs.select("b")), docs)
     of = lambda end: sets.toDF(end, f"of_{end}")
     joined = pairs.join(of("b"), "b").join(of("a"), "a")
     common = F.size(F.array_intersect("of_a", "of_b"))
@@ -216,10 +220,42 @@ def _links(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     return settle(joined.where(common.cast("long") * 100 >= either.cast("long") * PERCENT).select("a", "b"))
 
 
-def _across(members: DataFrame, nodes: DataFrame, classes: DataFrame) -> DataFrame:
-    """Pairs of one bucket, of different classes, that agree well enough in short signatures.
-    Pairs with the bucket's center are done already. The members outside the bucket's first
-    class, in blocks, meet all of its members, in chunks; both have a bounded expected size."""
+class _Groups:
+    """Which members of a block are connected already."""
+
+    def __init__(self, labels: np.ndarray):
+        self._above: dict[int, int] = {}
+        self._labels = labels.tolist()
+
+    def top(self, member: int) -> int:
+        k = self._labels[member]
+        while k in self._above:
+            k = self._above[k]
+        return k
+
+    def join(self, one: int, other: int) -> bool:
+        """Whether the two were apart."""
+        x, y = self.top(one), self.top(other)
+        if x != y:
+            self._above[max(x, y)] = min(x, y)
+        return x != y
+
+
+def _similar(one: np.ndarray, other: np.ndarray) -> bool:
+    """By the full sets, which are sorted and distinct."""
+    common = len(np.intersect1d(one, other, assume_unique=True))
+    return common * 100 >= (len(one) + len(other) - common) * PERCENT
+
+
+def _across(members: DataFrame, nodes: DataFrame, classes: DataFrame, texts: DataFrame) -> DataFrame:
+    """Links (a, b) between texts of one bucket that are in different classes. Pairs with the
+    bucket's center are done already. The members outside the bucket's first class, in blocks,
+    meet all of its members, in chunks; both have a bounded expected size.
+
+    A pair that shares several buckets is looked at in the one of its first common band only.
+    Pairs that outlast the batches of their signatures are verified on their full sets at once,
+    and a block hands on a link only if it joins what was apart: no more rows than members, however
+    many pairs are alike, or nearly so."""
     labelled = (
         members.where("id <> center")
         .join(classes, "id", "left")
@@ -243,8 +279,8 @@ def _across(members: DataFrame, nodes: DataFrame, classes: DataFrame) -> DataFra
             F.ceil((F.col("n") - F.col("n_first")) / BLOCK).cast("int").alias("blocks"),
         )
     )
-    signatures = nodes.select("id", "signature")
-    rows = labelled.join(open_, "bucket")
+    rows = settle(labelled.join(open_, "bucket"))
+    sets = _sets(rows.select("id"), texts).join(nodes.select("id", "signature", "bands"), "id")
     slot = lambda n, salt: F.pmod(F.xxhash64("id", F.lit(salt)), F.col(n)).cast("int")
     each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     outside = rows.where(F.col("class") != F.col("first"))
@@ -254,31 +290,36 @@ def _across(members: DataFrame, nodes: DataFrame, classes: DataFrame) -> DataFra
     right = rows.select(
         "bucket", "id", "class", slot("chunks", 2).alias("chunk"), each("blocks").alias("block"), F.lit(False).alias("left")
     )
-    group = ["bucket", "block", "chunk"]
     placed = (
         left.unionByName(right)
-        .join(signatures, "id")
-        .withColumn("group", F.xxhash64(*group))
-        .drop(*group)
+        .join(sets, "id")
+        .withColumn("group", F.xxhash64("bucket", "block", "chunk"))
+        .drop("block", "chunk")
         .repartition("group")
         .sortWithinPartitions("group")
     )
     limits = _limits()
 
-    def meet(part: pd.DataFrame) -> list[np.ndarray]:
+    def meet(part: pd.DataFrame) -> list[tuple[int, int]]:
         is_left = part["left"].to_numpy()
         ids, labels = part["id"].to_numpy(np.int64), part["class"].to_numpy(np.int64)
-        signatures = _matrix(part["signature"])
+        signatures, hashes = _matrix(part["signature"]), part["hashes"].to_list()
+        numbers, bucket = np.stack(part["bands"].to_list()), part["bucket"].to_numpy(np.int64)
+        groups, links = _Groups(labels), []
         a, b = np.flatnonzero(is_left), np.flatnonzero(~is_left)
-        out = []
         for k in range(0, len(a), 64):
             x, y = np.repeat(a[k : k + 64], len(b)), np.tile(b, len(a[k : k + 64]))
-            apart = labels[x] != labels[y]
+            apart = (labels[x] != labels[y]) & (bucket[x] == bucket[y])
             x, y = x[apart], y[apart]
             alive = surviving(signatures, x, signatures, y, limits)
-            i, j = ids[x[alive]], ids[y[alive]]
-            out.append(np.stack([np.minimum(i, j), np.maximum(i, j)], axis=1))
-        return out
+            x, y = x[alive], y[alive]
+            first = (numbers[x] == numbers[y]).argmax(axis=1)
+            here = numbers[x, first] == bucket[x]
+            for i, j in zip(x[here].tolist(), y[here].tolist(), strict=True):
+                if groups.top(i) != groups.top(j) and _similar(hashes[i], hashes[j]):
+                    groups.join(i, j)
+                    links.append((int(min(ids[i], ids[j])), int(max(ids[i], ids[j]))))
+        return links
 
     def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rest = None
@@ -288,22 +329,28 @@ def _across(members: DataFrame, nodes: DataFrame, classes: DataFrame) -> DataFra
             starts = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
             found = [p for s, e in zip(starts[:-1], starts[1:]) for p in meet(part.iloc[s:e])]
             rest = part.iloc[starts[-1] :] if len(part) else part
-            yield _pairs(found)
+            yield pd.DataFrame(found, columns=["a", "b"], dtype=np.int64)
         if rest is not None and len(rest):
-            yield _pairs(meet(rest))
+            yield pd.DataFrame(meet(rest), columns=["a", "b"], dtype=np.int64)
 
-    def _pairs(found: list[np.ndarray]) -> pd.DataFrame:
-        both = np.concatenate([*found, np.empty((0, 2), np.int64)])
-        return pd.DataFrame(np.unique(both, axis=0), columns=["a", "b"])
+    return settle(placed.mapInPandas(compare, "a long, b long").distinct())
 
-    return placed.mapInPandas(compare, "a long, b long").distinct()
+
+def _of_one_id(known: DataFrame, first: DataFrame) -> DataFrame:
+    """Links (a, b) between the texts of ids that are given with different texts: such an id is
+    one document, and links them."""
+    nodes = known.select("doc_id", "digest").join(first, "digest").select("doc_id", "id")
+    several = nodes.groupBy("doc_id").agg(F.min("id").alias("b"), F.max("id").alias("last"))
+    pairs = nodes.join(several.where("b < last"), "doc_id").where("id > b")
+    return settle(pairs.select(F.col("id").alias("a"), "b").distinct())
 
 
 def classes(docs: DataFrame, key="doc_id", text="text") -> DataFrame:
     """Per row of the documents: doc_id, n_shingles, component_id, kept."""
+    ship(docs.sparkSession)
     rows = settle(signed(docs, key, text))
     known = rows.where("digest IS NOT NULL AND doc_id IS NOT NULL")
-    first = known.groupBy("digest").agg(F.min("doc_id").alias("id"))
+    first = settle(known.groupBy("digest").agg(F.min("doc_id").alias("id")))
     # Equal words, equal sets: the row of the smallest id stands for all.
     nodes = settle(
         known.withColumn("id", F.col("doc_id"))
@@ -317,13 +364,27 @@ def classes(docs: DataFrame, key="doc_id", text="text") -> DataFrame:
     stars = members.where("id <> center").select(F.col("center").alias("a"), F.col("id").alias("b"))
     links = _links(_not_given_up(stars.distinct(), nodes), texts)
     by_star = components(links)
-    more = _links(_across(members, nodes, by_star), texts)
+    more = _across(members, nodes, by_star, texts).union(_of_one_id(known, first))
     found = components(by_star.toDF("a", "b").union(more)) if not more.isEmpty() else by_star
-    of_digest = settle(first).join(found, "id", "left").select(
+    of_digest = first.join(found, "id", "left").select(
         "digest", F.coalesce("component", "id").alias("component")
     )
+    # A row without words, of an id that has words in another row, is that document.
+    wordless = rows.where("digest IS NULL AND doc_id IS NOT NULL").select("doc_id").distinct()
+    elsewhere = settle(
+        known.select("doc_id", "digest")
+        .join(wordless, "doc_id")
+        .join(of_digest, "digest")
+        .groupBy("doc_id")
+        .agg(F.min("component").alias("elsewhere"))
+    )
+    of_row = rows.join(of_digest, "digest", "left")
+    if not elsewhere.isEmpty():
+        of_row = of_row.join(elsewhere, "doc_id", "left").withColumn(
+            "component", F.coalesce("component", "elsewhere")
+        )
     component = F.coalesce("component", "doc_id")
-    return rows.join(of_digest, "digest", "left").select(
+    return of_row.select(
         "doc_id",
         "n_shingles",
         F.when(F.col("doc_id").isNotNull(), component).alias("component_id"),
@@ -332,6 +393,21 @@ def classes(docs: DataFrame, key="doc_id", text="text") -> DataFrame:
 
 
 def without_copies(docs: DataFrame) -> DataFrame:
-    """The documents that stay: one of each class, with their own columns."""
-    kept = classes(docs).where("kept").select(F.col("doc_id").alias("__kept")).distinct()
-    return docs.join(kept, docs["doc_id"].eqNullSafe(F.col("__kept")), "left_semi")
+    """The documents that stay, with their own columns: one of each class, in one row. An id that
+    is given in several rows stays in the row of the smallest text, null first, and of equal ones
+    in any. Rows without an id are in no class, and all stay."""
+    counted = classes(docs).groupBy(F.col("doc_id").alias("__id"))
+    kept = settle(
+        counted.agg(F.bool_and("kept").alias("kept"), F.count("*").alias("__rows"))
+        .where("kept OR __id IS NULL")
+        .select("__id", "__rows")
+    )
+    here = lambda rows: docs.join(rows, docs["doc_id"].eqNullSafe(F.col("__id")), "left_semi")
+    once = here(kept.where("__rows = 1 OR __id IS NULL"))
+    several = kept.where("__rows > 1 AND __id IS NOT NULL")
+    if several.isEmpty():
+        return once
+    # Ranks are cut in every task before the exchange.
+    first = F.row_number().over(Window.partitionBy("doc_id").orderBy("text"))
+    rest = here(several).withColumn("__rank", first).where("__rank = 1").drop("__rank")
+    return once.unionByName(rest)

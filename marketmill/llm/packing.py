@@ -147,24 +147,32 @@ class WordTokens(dict):
         return self._cut_ids(words[0]) + rest
 
 
-_tokens: dict[str, WordTokens] = {}
+_tokens: dict[tuple[str, int], WordTokens] = {}
 
 
-def _word_tokens(path: str) -> WordTokens:
+def _word_tokens(path: str, limit: int) -> WordTokens:
     """One per worker and vocabulary: a worker serves many tasks."""
-    if path not in _tokens:
-        _tokens[path] = WordTokens(path)
-    return _tokens[path]
-
-
-def pieces(docs: DataFrame, key="doc_id", text="text", capacity=CAPACITY, tokenizer=TOKENIZER):
+    if (path, limit) not in _tokens:
+        _tokens[path, limit] = WordTokens(path, limit)
+    return _tokens[path, limit]
+
+
+def pieces(
+    docs: DataFrame,
+    key="doc_id",
+    text="text",
+    capacity=CAPACITY,
+    tokenizer=TOKENIZER,
+    remembered: int = CACHE_WORDS,
+):
     """A row per piece: doc_id, piece, start, length, ids_crc32, and its task and rank among the
-    task's pieces of this length."""
+    task's pieces of this length. A worker keeps the ids of two generations of ``remembered``
+    words, about 200 bytes each; fewer cost time, never a result."""
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import public_tokenizers
 
-        words = _word_tokens(public_tokenizers.path(tokenizer))
+        words = _word_tokens(public_tokenizers.path(tokenizer), remembered)
         end = np.zeros(1, dtype="<u4").tobytes()
         part = TaskContext.get().partitionId()
         ranks = np.zeros(capacity + 1, dtype=np.int64)
@@ -260,9 +268,16 @@ def plan(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[int, in
     return runs
 
 
-def packed(docs: DataFrame, key="doc_id", text="text", capacity=CAPACITY, tokenizer=TOKENIZER):
+def packed(
+    docs: DataFrame,
+    key="doc_id",
+    text="text",
+    capacity=CAPACITY,
+    tokenizer=TOKENIZER,
+    remembered: int = CACHE_WORDS,
+):
     """Per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset."""
-    cut = settle(pieces(docs, key, text, capacity, tokenizer))
+    cut = settle(pieces(docs, key, text, capacity, tokenizer, remembered))
     counted = settle(cut.groupBy("length", "part").agg(F.count("*").alias("n")))
     before = (
         Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)

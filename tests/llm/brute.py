@@ -33,7 +33,8 @@ def near_duplicates(docs):
     for a in range(len(sets)):
         for b in range(a):
             x, y = sets[a][1], sets[b][1]
-            if x and y and 100 * len(x & y) >= 75 * len(x | y):
+            one_id = sets[a][0] is not None and sets[a][0] == sets[b][0]
+            if one_id or x and y and 100 * len(x & y) >= 75 * len(x | y):
                 root[top(a)] = top(b)
     least = {}
     for k, (i, _) in enumerate(sets):

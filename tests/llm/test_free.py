@@ -44,6 +44,26 @@ def test_near_duplicates_in_chains_and_groups(spark):
     assert max(Counter(c for _, _, c in want).values()) > 100
 
 
+def test_an_id_with_several_texts_links_them(spark):
+    a, b, c = ("x1 x2 x3 x4 x5 x6", "y1 y2 y3 y4 y5 y6", "z1 z2 z3 z4 z5 z6")
+    rows = [(7, a), (5, a), (5, b), (3, b), (9, c), (9, None), (8, ""), (2, None), (2, "q r"), (4, "q  r")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = classes(df)
+    assert got == brute.near_duplicates(rows)
+    assert {i: c for i, _, c in got} == {7: 3, 5: 3, 3: 3, 9: 9, 8: 8, 2: 2, 4: 2}
+
+
+def test_without_copies_keeps_one_row_of_each_class(spark):
+    a, b = "x1 x2 x3 x4 x5 x6", "y1 y2 y3 y4 y5 y6"
+    rows = [(3, b), (3, b), (5, a), (5, b), (7, a), (8, None), (8, None), (None, a), (None, a), (1, b + " y7")]
+    df = spark.createDataFrame([(*r, "en", 1) for r in rows], "doc_id long, text string, kept string, id int")
+    left = near_dup.without_copies(df)
+    assert left.columns == df.columns
+    assert sorted(((r["doc_id"], r["text"]) for r in left.collect()), key=str) == [
+        (1, b + " y7"), (3, b), (8, None), (None, a), (None, a),
+    ]
+
+
 def test_bayes_limits_follow_the_posterior():
     limits = near_dup.least_agreement(0.75, 1e-3, 32, 16)
     draws = np.random.default_rng(1).beta(limits[16], 16 - limits[16] + 2, 400_000)

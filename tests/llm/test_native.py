@@ -220,4 +220,5 @@ def test_native_plans_hold_no_python(spark):
 
 
 def test_word_count_in_sql():
-    assert duckdb.sql(r"select len(regexp_extract_all('a b\tc  é', '[^\x20\x09-\x0D]+'))").fetchone()
+    found = duckdb.sql(r"select len(regexp_extract_all('a b\tc  é', '[^\x20\x09-\x0D]+'))")
+    assert found.fetchall() == [(3,)]
