@@ -5,7 +5,7 @@ three. Counts are needed of phrases of one to four words, and only edges are cou
 
 * Edges. Every word of a piece starts one edge; near the piece's end the edge is cut short, and
   such a stub is the piece-end correction. A task numbers the words it meets, sorts its edges by
-  number and adds up equal ones. What is exchanged is one block per task, language and range of
+  hash and adds up equal ones. What is exchanged is one block per task, language and range of
   edge hashes: the words used and the edges' numbers, compressed.
 * Node flow. What leaves a node, plus the stubs that end there, is how often its three words
   occur. The same step leads from three words to two and from two to one. Each step adds up
@@ -28,11 +28,13 @@ read. Text is taken as UTF-8 bytes; only A-Z are lower-cased.
 
 from __future__ import annotations
 
+from collections import defaultdict
 from collections.abc import Iterator
+from itertools import count
 
 import numpy as np
 import pandas as pd
-import zlib
+import xxhash
 import zstandard
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -45,8 +47,9 @@ KEEP_PERCENT = 80  # a longer phrase with this share of the count takes a phrase
 TOP = 2000
 SCALE = 2_000_000
 HEAVY = 1000  # a part with one in this many of all words is joined by broadcast
-FLUSH_WORDS = 1_000_000  # words a task holds before it writes blocks
-RANGE_BYTES = 8 << 20  # text whose edges are counted together
+FLUSH_WORDS = 2_000_000  # words a task holds, as numbers, before it writes blocks
+RANGE_BYTES = 8 << 20  # text whose edges are counted together, on average
+LEAST_PARTS = 16
 
 # One byte table: A-Z to lower case, the marks that end a piece to a byte that UTF-8 never has.
 _END = b"\xff"
@@ -61,46 +64,41 @@ def tokens(text: str) -> list[bytes]:
     return text.encode().translate(_BYTES).replace(_END, b" \xff ").split()
 
 
-def _numbered(words: list[bytes]) -> tuple[list[bytes], np.ndarray]:
-    """(different words, the number of each word); numbers start at 1."""
-    number = {w: k for k, w in enumerate(dict.fromkeys(words), 1)}
-    return list(number), np.fromiter(map(number.__getitem__, words), np.int64, len(words))
-
-
-def _edges(words: list[bytes]) -> tuple[list[bytes], np.ndarray]:
-    """(different words, edges): a row of word numbers for every word; 0 is beyond the piece."""
-    known, number = _numbered(words)
-    if _END in known:
-        number[number == known.index(_END) + 1] = 0
-    n = len(number)
-    padded = np.concatenate([number, np.zeros(LONGEST, np.int64)])
-    columns = [padded[:n]]
-    for k in range(1, LONGEST):
-        columns.append(np.where(columns[-1] > 0, padded[k : n + k], 0))
-    rows = np.column_stack(columns)
-    return known, rows[rows[:, 0] > 0]
-
-
-def _summed(grams: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Different rows in order, with the sums of their counts."""
-    if not len(grams):
-        return grams, counts
-    size = int(grams.max()) + 1
-    keys, key, room = [], np.zeros(len(grams), np.int64), 1
-    for column in grams.T:  # as many columns in one number as fit
-        if room * size >= 1 << 62:
-            keys.append(key)
-            key, room = np.zeros(len(grams), np.int64), 1
-        key, room = key * size + column, room * size
-    keys.append(key)
-    order = np.argsort(key, kind="stable") if len(keys) == 1 else np.lexsort(keys[::-1])
-    new = np.zeros(len(grams), bool)
-    new[0] = True
-    for key in keys:
-        key = key[order]
-        new[1:] |= key[1:] != key[:-1]
-    first = np.flatnonzero(new)
-    return grams[order[first]], np.add.reduceat(counts[order], first)
+def _numbering() -> defaultdict[bytes, int]:
+    """Gives every new word the next number, from 0 on."""
+    return defaultdict(count().__next__)
+
+
+def _numbers(known: defaultdict[bytes, int], words: list[bytes]) -> np.ndarray:
+    return np.fromiter(map(known.__getitem__, words), np.int32, len(words))
+
+
+class _Numbered:
+    """Texts of one language as word numbers, which start at 1; 0 stands between pieces."""
+
+    def __init__(self):
+        self.known = _numbering()
+        self.known[_END]  # 0
+        self.texts: list[np.ndarray] = []
+
+    def add(self, text: str) -> int:
+        words = tokens(text)
+        words.append(_END)
+        self.texts.append(_numbers(self.known, words))
+        return len(words)
+
+    def words(self) -> list[bytes]:
+        return list(self.known)[1:]
+
+    def edges(self) -> np.ndarray:
+        """Four rows of word numbers, a column for every word; 0 is beyond its piece."""
+        number = np.concatenate([*self.texts, np.zeros(LONGEST, np.int32)])
+        starts = np.flatnonzero(number)
+        edges = np.empty((LONGEST, len(starts)), np.int32)
+        edges[0] = number[starts]
+        for k in range(1, LONGEST):
+            np.multiply(number[starts + k], edges[k - 1] > 0, out=edges[k])
+        return edges
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -108,33 +106,69 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
-def _blocks(lang: str, known: list[bytes], grams: np.ndarray, counts: np.ndarray, parts: int):
-    """Rows of ``BLOCK``: the grams dealt by hash to ranges, each with the words it uses."""
-    of_word = np.array([0, *map(zlib.crc32, known)], np.uint64)
-    h = np.full(len(grams), zlib.crc32(lang.encode()), np.uint64)
-    for column in grams.T:
-        h = _mixed(h * np.uint64(0x9E3779B97F4A7C15) + of_word[column] + np.uint64(1))
-    part = (h % np.uint64(parts)).astype(np.int64)
-    order = np.argsort(part, kind="stable")
-    part = part[order]
+def _hashes(seed: int, of_word: np.ndarray, grams: np.ndarray) -> np.ndarray:
+    """One hash per column of word numbers, the same wherever the words have other numbers."""
+    h = np.full(grams.shape[1], seed, np.uint64)
+    for row in grams:
+        h = _mixed(h * np.uint64(0x9E3779B97F4A7C15) + of_word[row])
+    return h
+
+
+def _word_hashes(words: list[bytes]) -> np.ndarray:
+    return np.array([1, *map(xxhash.xxh3_64_intdigest, words)], np.uint64)
+
+
+def _summed(grams: np.ndarray, counts: np.ndarray, hashes: np.ndarray):
+    """(grams, counts, hashes) of different grams, in order of their hashes, counts added up."""
+    if not len(counts):
+        return grams, counts, hashes
+    order = np.argsort(hashes)
+    in_order = hashes[order]
+    again = np.flatnonzero(in_order[1:] == in_order[:-1])
+    one, other = order[again], order[again + 1]
+    new = np.ones(len(order), bool)
+    if all((row[one] == row[other]).all() for row in grams):
+        new[again + 1] = False
+    else:  # two grams of one hash: put equal ones beside each other exactly
+        order = np.lexsort([*grams, hashes])
+        ordered = grams[:, order]
+        new[1:] = (ordered[:, 1:] != ordered[:, :-1]).any(axis=0)
+    first = np.flatnonzero(new)
+    chosen = order[first]
+    return grams[:, chosen], np.add.reduceat(counts[order], first), hashes[chosen]
+
+
+def _blocks(lang: str, words: list[bytes], grams, counts, hashes, parts: int):
+    """Rows of ``BLOCK``: grams in order of their hashes, cut into ranges of hashes, each with the
+    words that it uses."""
+    if not len(counts):
+        return
+    part = ((hashes >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
     press = zstandard.ZstdCompressor(level=1).compress
-    edges = np.flatnonzero(np.diff(part, prepend=-1, append=-1)) if len(part) else []
+    edges = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(part)]
+    place = np.zeros(len(words) + 1, np.int32)
+    spelled = np.empty(len(words) + 1, object)
+    spelled[1:] = words
     for a, b in zip(edges[:-1], edges[1:], strict=True):
-        rows = grams[order[a:b]]
-        used, local = np.unique(rows, return_inverse=True)
-        if used[0] == 0:
-            used = used[1:]
+        own = grams[:, a:b]
+        if 8 * own.size > len(place):  # cheaper to mark the words than to sort them
+            mark = np.zeros(len(place), bool)
+            mark[own] = True
+            used = np.flatnonzero(mark)
         else:
-            local = local + 1
-        width = np.uint16 if len(used) < 1 << 16 else np.uint32
-        columns = np.ascontiguousarray(local.reshape(rows.shape).T.astype(width))
-        many = counts[order[a:b]].astype(np.int64)
+            used = np.unique(own)
+        used = used[used > 0]
+        place[used] = np.arange(1, len(used) + 1)
+        width = np.dtype(np.uint16 if len(used) < 1 << 16 else np.uint32)
+        many = counts[a:b]
+        size = np.dtype(np.uint8 if many.max() < 256 else np.int64)
+        data = bytes([size.itemsize]) + many.astype(size).tobytes() + place[own].astype(width).tobytes()
         yield (
             int(part[a]),
             lang,
-            press(b" ".join(known[k - 1] for k in used.tolist())),
-            press(many.tobytes() + columns.tobytes()),
-            rows.shape[1],
+            press(b" ".join(spelled[used].tolist())),
+            press(data),
+            len(own),
             None,
             None,
         )
@@ -143,51 +177,57 @@ def _blocks(lang: str, known: list[bytes], grams: np.ndarray, counts: np.ndarray
 def _read(rows: pd.DataFrame) -> tuple[list[bytes], np.ndarray, np.ndarray]:
     """(words, grams, counts) of blocks, with one numbering for all."""
     open_ = zstandard.ZstdDecompressor().decompress
-    number: dict[bytes, int] = {}
+    known = _numbering()
+    known[b""]  # 0: beyond a piece; no word is empty
     grams, counts = [], []
-    for words, packed, m in zip(rows["words"], rows["grams"], rows["m"], strict=True):
-        own = open_(words).split(b" ")
-        width = np.uint16 if len(own) < 1 << 16 else np.uint32
+    for packed_words, packed, m in zip(rows["words"], rows["grams"], rows["m"], strict=True):
+        own, m = open_(packed_words).split(b" "), int(m)
+        width = np.dtype(np.uint16 if len(own) < 1 << 16 else np.uint32)
         data = open_(packed)
-        n = len(data) // (8 + int(m) * np.dtype(width).itemsize)
-        shared = np.fromiter((number.setdefault(w, len(number) + 1) for w in own), np.int64, len(own))
-        columns = np.frombuffer(data, width, int(m) * n, 8 * n).reshape(int(m), n)
-        grams.append(np.concatenate([[0], shared])[columns].T)
-        counts.append(np.frombuffer(data, np.int64, n))
-    return list(number), np.concatenate(grams), np.concatenate(counts)
+        size = np.dtype(np.uint8 if data[0] == 1 else np.int64)
+        n = (len(data) - 1) // (size.itemsize + m * width.itemsize)
+        shared = np.zeros(len(own) + 1, np.int32)
+        shared[1:] = _numbers(known, own)
+        columns = np.frombuffer(data, width, m * n, 1 + size.itemsize * n)
+        grams.append(shared[columns].reshape(m, n))
+        counts.append(np.frombuffer(data, size, n, 1).astype(np.int64))
+    return list(known)[1:], np.concatenate(grams, axis=1), np.concatenate(counts)
 
 
 def _frame(rows) -> pd.DataFrame:
     return pd.DataFrame(list(rows), columns=[c.split()[0] for c in BLOCK.split(", ")])
 
 
+def _seed(lang: str) -> int:
+    return xxhash.xxh3_64_intdigest(lang.encode())
+
+
 def _counted_edges(texts: DataFrame, parts: int) -> DataFrame:
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held: dict[str, list[bytes]] = {}
+    def count_edges(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: dict[str, _Numbered] = {}
         size = 0
 
         def flush():
             rows = []
-            for lang, words in held.items():
-                known, grams = _edges(words)
-                grams, counts = _summed(grams, np.ones(len(grams), np.int64))
-                rows += _blocks(lang, known, grams, counts, parts)
+            for lang, numbered in held.items():
+                words, grams = numbered.words(), numbered.edges()
+                found = _hashes(_seed(lang), _word_hashes(words), grams)
+                ones = np.ones(len(found), np.int64)
+                rows += _blocks(lang, words, *_summed(grams, ones, found), parts)
             held.clear()
             return _frame(rows)
 
         for batch in batches:
             for lang, text in zip(batch["lang"], batch["text"], strict=True):
-                words = held.setdefault(lang, [])
-                size -= len(words)
-                words += tokens(text)
-                words.append(_END)
-                size += len(words)
+                if lang not in held:
+                    held[lang] = _Numbered()
+                size += held[lang].add(text)
                 if size >= FLUSH_WORDS:
                     yield flush()
                     size = 0
         yield flush()
 
-    return texts.mapInPandas(count, BLOCK)
+    return texts.mapInPandas(count_edges, BLOCK)
 
 
 def _flow(rows: DataFrame, m: int, parts: int, least: int) -> DataFrame:
@@ -195,19 +235,22 @@ def _flow(rows: DataFrame, m: int, parts: int, least: int) -> DataFrame:
     leaves the first m - 1 words of each. The last step hands on the number of all words."""
 
     def merge(group: pd.DataFrame) -> pd.DataFrame:
+        part = group["part"].iat[0]
         blocks = group[group["phrase"].isna()]
         known_rows = group[group["phrase"].notna()]
         out = list(known_rows.itertuples(index=False, name=None))
         for lang, own in blocks.groupby("lang", sort=False):
             words, grams, counts = _read(own)
-            grams, counts = _summed(grams, counts)
-            often = np.flatnonzero((grams[:, m - 1] > 0) & (counts >= least))
-            for gram, f in zip(grams[often].tolist(), counts[often].tolist(), strict=True):
+            of_word = _word_hashes(words)
+            grams, counts, _ = _summed(grams, counts, _hashes(_seed(lang), of_word, grams))
+            often = np.flatnonzero((grams[m - 1] > 0) & (counts >= least))
+            for gram, f in zip(grams[:, often].T.tolist(), counts[often].tolist(), strict=True):
                 phrase = b" ".join(words[k - 1] for k in gram).decode()
-                out.append((zlib.crc32(phrase.encode()) % parts, lang, None, None, m, phrase, f))
+                out.append((int(part), lang, None, None, m, phrase, f))
             if m > 1:
-                shorter, flow = _summed(grams[:, : m - 1], counts)
-                out += _blocks(lang, words, shorter, flow, parts)
+                shorter = grams[: m - 1]
+                found = _hashes(_seed(lang), of_word, shorter)
+                out += _blocks(lang, words, *_summed(shorter, counts, found), parts)
             else:
                 out.append((0, lang, None, None, 0, "", int(counts.sum())))
         return _frame(out)
@@ -226,7 +269,7 @@ def counted(docs: DataFrame, text="text", lang="lang", least: int = MIN_COUNT) -
         F.coalesce(F.col(text), F.lit("")).alias("text"),
     )
     size = texts.agg(F.sum(F.octet_length("text").cast("long")).alias("n")).first()["n"] or 0
-    parts = max(2 * int(spark.conf.get("spark.sql.shuffle.partitions")), size // RANGE_BYTES)
+    parts = max(LEAST_PARTS, size // RANGE_BYTES)
     rows = _counted_edges(texts, parts)
     for m in range(LONGEST, 0, -1):
         rows = _flow(rows, m, parts, least)

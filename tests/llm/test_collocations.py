@@ -142,17 +142,36 @@ def test_inner_nodes(spark):
     assert [r["node"] for r in got] == ["b c d"]
 
 
-def test_sums_of_many_words():
+@pytest.mark.parametrize("collide", [False, True])
+def test_sums_are_exact_whatever_the_hashes(collide):
     r = np.random.default_rng(1)
-    grams = np.concatenate([r.integers(0, 1 << 40, (300, 4)), r.integers(0, 3, (300, 4))])
-    grams = np.concatenate([grams, grams[::3]])
-    counts = r.integers(1, 5, len(grams))
+    grams = r.integers(0, 4, (4, 900)).astype(np.int32)
+    counts = r.integers(1, 5, 900)
+    hashes = collocations._hashes(7, r.integers(0, 1 << 60, 4).astype(np.uint64), grams)
+    if collide:
+        hashes = hashes % np.uint64(5)
     want = Counter()
-    for g, c in zip(grams.tolist(), counts.tolist(), strict=True):
+    for g, c in zip(grams.T.tolist(), counts.tolist(), strict=True):
         want[tuple(g)] += c
-    rows, sums = collocations._summed(grams, counts)
-    assert list(map(tuple, rows.tolist())) == sorted(want)
-    assert dict(zip(map(tuple, rows.tolist()), sums.tolist(), strict=True)) == want
+    rows, sums, order = collocations._summed(grams, counts, hashes)
+    assert dict(zip(map(tuple, rows.T.tolist()), sums.tolist(), strict=True)) == want
+    assert rows.shape[1] == len(want) and (order[1:] >= order[:-1]).all()
+
+
+def test_blocks_are_read_as_written():
+    r = np.random.default_rng(2)
+    words = [f"w{i}é".encode() for i in range(70_000)]
+    grams = np.concatenate([np.stack([np.arange(1, 70_001)] * 3), r.integers(0, 70_001, (3, 999))], axis=1)
+    grams = grams.astype(np.int32)
+    counts = r.integers(1, 1 << 40, grams.shape[1])
+    of_word = collocations._word_hashes(words)
+    grams, counts, hashes = collocations._summed(grams, counts, collocations._hashes(1, of_word, grams))
+    for parts in (1, 7):
+        rows = list(collocations._blocks("en", words, grams, counts, hashes, parts))
+        assert len(rows) == parts and len({row[0] for row in rows}) == parts
+        known, back, sums = collocations._read(collocations._frame(rows))
+        spell = lambda names, g: [[names[k - 1] if k else None for k in c] for c in g.T.tolist()]
+        assert spell(known, back) == spell(words, grams) and (sums == counts).all()
 
 
 def test_empty_table(spark):
