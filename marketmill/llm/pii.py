@@ -5,8 +5,7 @@ Kinds with a fixed rule (always reported): e-mail, IPv4 with parts up to 255, pa
 of its country's length that passes mod 97, and nine-digit identity numbers, reported if their score reaches
 ``MIN_SCORE``: a prior for the kind, raised by a context word among the ``CONTEXT_CHARS``
 characters before the span or as many after it, across other spans, and carried on through a
-list of spans of the kind, however long. Only a ``CONTRAST`` word that follows a span of the kind
-ends what counts as before. Every base span carries its score too.
+list of spans of the kind, however long. Every base span carries its score too.
 
 Matches are the leftmost non-overlapping ones of each kind. Runs are matched possessively, and
 only from where a run starts or the last match ended, which gives the same matches as the plain
@@ -76,8 +75,6 @@ CONTEXT = {
     "ssn": "ssn|social|security|identity|taxpayer",
 }
 CONTEXT_CHARS = 40
-# "ssn <number> but <number>": the second one is not meant.
-CONTRAST = r"\bbut\b"
 # What stands between the spans of a list.
 LISTING = r"^[^\p{L}\p{N}]{0,40}(?:(?:and|or)[^\p{L}\p{N}]{0,40})?$"
 CONTEXT_GAIN = 0.3
@@ -196,10 +193,7 @@ def _spans(pieces: Column, kind: str) -> Column:
             )
         )
         is_match = piece_place["place"] % 2 == 1
-        contrast = ~is_match & (piece_place["place"] > 0) & F.lower(piece).rlike(CONTRAST)
-        running = F.when(contrast, piece).otherwise(
-            F.concat(a["before"], F.right(piece, F.lit(CONTEXT_CHARS)))
-        )
+        running = F.concat(a["before"], F.right(piece, F.lit(CONTEXT_CHARS)))
         return F.struct(
             end.alias("at"),
             F.right(running, F.lit(CONTEXT_CHARS)).alias("before"),

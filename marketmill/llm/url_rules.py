@@ -1,8 +1,10 @@
 """URL filters: a rule list first, then association rules mined from the URLs it decides.
 
 Rules (host, path, verdict) decide the URLs they fit. Those verdicts are the labels: frequent
-sets of URL tokens that go with one verdict are mined by FP-growth, kept by support and
-confidence, and applied to the URLs that no listed rule fits. A URL gives at most nine tokens
+sets of URL tokens that go with one verdict are mined by FP-growth, kept by support, confidence and
+evidence, and applied to the URLs that no listed rule fits. Evidence: a set goes with its verdict
+more often than all labelled URLs do, and at least ``MIN_SOURCES`` listed rules have said it of URLs
+that hold the set. What one listed rule alone says is that rule, not an association. A URL gives at most nine tokens
 (scheme, top domain, site, first label, host, first folder, extension, first query name,
 fragment), so a set of support ``MIN_SUPPORT`` bounds the number of rules: at most 129 sets of
 up to three tokens a URL over 1 % of them, 12,900 rules, however many URLs there are.
@@ -35,6 +37,7 @@ RULES = (
 )
 MIN_SUPPORT = 0.01
 MIN_CONFIDENCE = 0.9
+MIN_SOURCES = 2
 MAX_TOKENS = 3
 DEFAULT = "allow"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -86,9 +89,9 @@ def tokens() -> Column:
 def mine(
     labelled: DataFrame, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE
 ) -> list[dict]:
-    """Rules from rows (tokens, verdict), strongest first: by confidence, support, fewest tokens,
-    then the tokens themselves. A rule whose tokens hold those of a stronger rule is left out: it
-    never decides. Their number is bounded by the support, see above."""
+    """Rules from rows (tokens, verdict, rule), strongest first: by confidence, support, fewest
+    tokens, then the tokens themselves. A rule whose tokens hold those of a stronger rule is left
+    out: it never decides. Their number is bounded by the support, see above."""
     partitions = int(labelled.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     items = labelled.select(
         F.concat("tokens", F.array(F.concat(F.lit("verdict="), "verdict"))).alias("items")
@@ -102,7 +105,7 @@ def mine(
     consequent = F.get("consequent", F.lit(0))
     found = (
         model.associationRules.where(
-            consequent.startswith("verdict=") & (F.size("antecedent") <= MAX_TOKENS)
+            consequent.startswith("verdict=") & (F.size("antecedent") <= MAX_TOKENS) & (F.col("lift") > 1)
         )
         .select(
             F.sort_array("antecedent").alias("tokens"),
@@ -113,28 +116,45 @@ def mine(
         .collect()
     )
     ordered = sorted(
-        found, key=lambda r: (-r["confidence"], -r["support"], len(r["tokens"]), r["tokens"])
+        (r.asDict() for r in found),
+        key=lambda r: (-r["confidence"], -r["support"], len(r["tokens"]), r["tokens"]),
     )
     kept: list[dict] = []
     sets: set[frozenset] = set()
-    for row in ordered:
+    for row in _with_sources(labelled, ordered):
         own = row["tokens"]
         parts = [frozenset(t for i, t in enumerate(own) if m >> i & 1) for m in range(1, 1 << len(own))]
         if not any(p in sets for p in parts):
             sets.add(frozenset(own))
-            kept.append(row.asDict())
+            kept.append(row)
     return kept
 
 
+def _with_sources(labelled: DataFrame, rules: list[dict]) -> list[dict]:
+    """The mined rules whose verdict several listed rules have given to URLs that they fit. The
+    driver gets one number a mined rule."""
+    if not rules:
+        return rules
+    fitting, verdicts = _fitting(rules)
+    sources = (
+        labelled.select("verdict", "rule", F.explode(fitting).alias("at"))
+        .where(F.col("verdict") == F.get(verdicts, F.col("at")))
+        .groupBy("at")
+        .agg(F.count_distinct("rule").alias("n"))
+        .where(F.col("n") >= MIN_SOURCES)
+        .collect()
+    )
+    enough = {r["at"] for r in sources}
+    return [rule for i, rule in enumerate(rules) if i in enough]
+
+
 def _literal(value, kind: str) -> Column:
     """One constant that the optimiser folds."""
     return F.from_json(F.lit(json.dumps(value)), kind)
 
 
-def decided(rules: list[dict]) -> Column:
-    """The verdict of the strongest mined rule whose tokens are all in ``tokens``, else null."""
-    if not rules:
-        return F.lit(None).cast("string")
+def _fitting(rules: list[dict]) -> tuple[Column, Column]:
+    """(numbers of the rules whose tokens are all in ``tokens``, verdicts by number)."""
     uses: dict[str, int] = {}
     for rule in rules:
         for token in rule["tokens"]:
@@ -152,6 +172,14 @@ def decided(rules: list[dict]) -> Column:
         )
     )
     fitting = F.filter(looked_up, lambda r: F.size(F.array_except(F.get(needed, r), "tokens")) == 0)
+    return fitting, verdicts
+
+
+def decided(rules: list[dict]) -> Column:
+    """The verdict of the strongest mined rule whose tokens are all in ``tokens``, else null."""
+    if not rules:
+        return F.lit(None).cast("string")
+    fitting, verdicts = _fitting(rules)
     return F.get(verdicts, F.array_min(fitting))
 
 
@@ -160,7 +188,9 @@ def judged(pages: DataFrame, rules=RULES) -> DataFrame:
     rule, verdict = listed(rules)
     rows = with_parts(pages).withColumns({"rule": rule, "listed": verdict, "tokens": tokens()})
     mined = mine(
-        rows.where(F.col("listed").isNotNull()).select("tokens", F.col("listed").alias("verdict"))
+        rows.where(F.col("listed").isNotNull()).select(
+            "tokens", F.col("listed").alias("verdict"), "rule"
+        )
     )
     return computed_once(
         rows,

@@ -68,6 +68,8 @@ def test_context_reaches_across_spans_and_after_them(spark):
         (f"SSN\n{a}\n{b}", "SSN\n[SSN]\n[SSN]"),
         (f"ssn {a} for Ann, {b} for Bob", "ssn [SSN] for Ann, [SSN] for Bob"),
         (f"{a} (SSN)", "[SSN] (SSN)"),
+        (f"ssn {a} but also {b} for the spouse", "ssn [SSN] but also [SSN] for the spouse"),
+        (f"SSN is {a}, but hers is {c}", "SSN is [SSN], but hers is [SSN]"),
         (f"{a}, {b} (SSN)", "[SSN], [SSN] (SSN)"),
         (f"{a}, {b}", f"{a}, {b}"),
         (f"SSN {far} {a}, {b}", f"SSN {far} {a}, {b}"),
