@@ -1,9 +1,9 @@
 from marketmill.functions.columns import (  # noqa: F401
     BUCKET_LABELS,
-    average_of_parts,
-    average_parts,
+    average_of_sums,
     bucket_order,
     day_gap,
+    fits_minor,
     from_minor,
     lateness_bucket,
     minor_units,
@@ -11,6 +11,7 @@ from marketmill.functions.columns import (  # noqa: F401
     month_label,
     month_start,
     percent,
+    quotient_sums,
     round_half,
     stable_average,
 )

@@ -23,12 +23,18 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def fits_minor(value: Column) -> Column:
+    """Whether a double has no more than four decimals: the double nearest to such a decimal is what
+    its ten-thousandths divide to. Null fits."""
+    whole = F.rint(value * F.lit(float(MINOR_PER_UNIT)))
+    return value.isNull() | (whole / F.lit(float(MINOR_PER_UNIT)) == value)
+
+
 def minor_units(c: Column | str) -> Column:
     """Money as a whole number of ten-thousandths; an amount that is finer raises an error."""
     value = _col(c)
     whole = F.rint(value * F.lit(float(MINOR_PER_UNIT)))
-    # The double nearest to a decimal of four places is what its ten-thousandths divide to.
-    survives = value.isNull() | (whole / F.lit(float(MINOR_PER_UNIT)) == value)
+    survives = fits_minor(value)
     finer = F.raise_error(F.concat(F.lit("money finer than four decimals: "), value.cast("string")))
     return F.when(survives, whole.cast("bigint")).otherwise(finer.cast("bigint"))
 
@@ -42,19 +48,38 @@ def money_sum(c: Column | str) -> Column:
     return from_minor(F.sum(minor_units(c)))
 
 
-def average_parts(c: Column | str, bits: int = 40) -> Column:
-    """A quotient as a whole number of 2^-bits, so that sums do not depend on their order."""
-    return F.floor(_col(c) * F.lit(float(1 << bits)) + 0.5).cast("decimal(20,0)")
+# A quotient is summed as a whole number of 2^-bits, whose high and low halves are two bigint sums:
+# exact, the same for any order and partitioning of the rows, and in the hash aggregate's
+# fixed-width buffer. Either half has room for 10^12 rows.
+LOW_BITS = 20
+
+
+def _halves(c: Column | str, bits: int) -> tuple[Column, Column]:
+    whole = F.floor(_col(c) * F.lit(float(1 << bits)) + 0.5).cast("bigint")
+    return F.shiftright(whole, LOW_BITS), whole.bitwiseAND(F.lit((1 << LOW_BITS) - 1))
+
+
+def quotient_sums(c: Column | str, name: str, bits: int = 40) -> list[Column]:
+    """The two sums of a column of quotients, ``<name>_high`` and ``<name>_low``; sums of such sums
+    can be taken further."""
+    high, low = _halves(c, bits)
+    return [F.sum(high).alias(f"{name}_high"), F.sum(low).alias(f"{name}_low")]
+
+
+def _average(high: Column, low: Column, n: Column, bits: int) -> Column:
+    total = high.cast("decimal(38,0)") * F.lit(1 << LOW_BITS) + low
+    return F.try_divide(total.cast("double") / F.lit(float(1 << bits)), n)
 
 
-def average_of_parts(total: Column | str, n: Column | str, bits: int = 40) -> Column:
-    """The average from a sum of ``average_parts``, null where nothing was summed."""
-    return F.try_divide(_col(total).cast("double") / F.lit(float(1 << bits)), _col(n))
+def average_of_sums(name: str, n: Column | str, bits: int = 40) -> Column:
+    """The average from ``quotient_sums``, null where nothing was summed."""
+    return _average(F.col(f"{name}_high"), F.col(f"{name}_low"), _col(n), bits)
 
 
 def stable_average(c: Column | str, bits: int = 40) -> Column:
     """Average of a column of quotients, the same for any order and partitioning of the rows."""
-    return average_of_parts(F.sum(average_parts(c, bits)), F.count(_col(c)), bits)
+    high, low = _halves(c, bits)
+    return _average(F.sum(high), F.sum(low), F.count(_col(c)), bits)
 
 
 def round_half(c: Column | str, digits: int) -> Column:

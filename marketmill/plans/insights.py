@@ -9,14 +9,14 @@ from pyspark.sql import functions as F
 
 from marketmill.functions import (
     BUCKET_LABELS,
-    average_of_parts,
-    average_parts,
+    average_of_sums,
     day_gap,
     from_minor,
     lateness_bucket,
     minor_units,
     month_label,
     percent,
+    quotient_sums,
     round_half,
     stable_average,
 )
@@ -224,7 +224,7 @@ def delivery_state_totals(fact_orders: DataFrame, dim_customers: DataFrame) -> D
         F.sum(day_gap(PURCHASED, DELIVERY)).alias("days"),
         F.count(day_gap(PURCHASED, DELIVERY)).alias("days_n"),
         _late().alias("late"),
-        F.sum(average_parts("review_score_avg")).alias("review"),
+        *quotient_sums("review_score_avg", "review"),
         F.count("review_score_avg").alias("review_n"),
         F.sum(minor_units("freight_total")).alias("freight"),
         F.sum(minor_units("gmv_items")).alias("gmv"),
@@ -242,7 +242,7 @@ def delivery_by_state(
             "orders",
             round_half(F.try_divide("days", "days_n"), 1).alias("avg_days_to_deliver"),
             percent(F.col("late"), F.col("orders"), 1).alias("pct_late"),
-            round_half(average_of_parts("review", "review_n"), 2).alias("avg_review"),
+            round_half(average_of_sums("review", "review_n"), 2).alias("avg_review"),
             percent(F.col("freight"), F.col("gmv"), 1).alias("freight_pct_of_gmv"),
         )
         .orderBy("avg_days_to_deliver", "state")

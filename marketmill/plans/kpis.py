@@ -6,12 +6,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marketmill.functions import (
-    average_of_parts,
-    average_parts,
+    average_of_sums,
     from_minor,
     minor_units,
     month_label,
     percent,
+    quotient_sums,
     round_half,
 )
 from marketmill.operators.calendar import monthly_counts
@@ -75,7 +75,7 @@ def kpi_summary(fact_orders: DataFrame) -> DataFrame:
         F.sum(minor_units("payment_value_total")).alias("payment"),
         F.sum("n_items").alias("items"),
         F.count("n_items").alias("items_n"),
-        F.sum(average_parts("review_score_avg")).alias("review"),
+        *quotient_sums("review_score_avg", "review"),
         F.count("review_score_avg").alias("review_n"),
         F.count_if(F.col("delivered_on_time")).alias("on_time"),
         F.count("delivered_on_time").alias("on_time_n"),
@@ -91,7 +91,7 @@ def kpi_summary(fact_orders: DataFrame) -> DataFrame:
         ],
         *[
             F.sum(c).alias(c)
-            for c in ("items", "items_n", "review", "review_n", "on_time", "on_time_n")
+            for c in ("items", "items_n", "review_high", "review_low", "review_n", "on_time", "on_time_n")
         ],
     )
     return total.select(
@@ -103,7 +103,7 @@ def kpi_summary(fact_orders: DataFrame) -> DataFrame:
         from_minor("payment").alias("payment_total"),
         F.try_divide(from_minor("gmv"), F.col("orders")).alias("aov"),
         F.try_divide("items", "items_n").alias("items_per_order"),
-        average_of_parts("review", "review_n").alias("avg_review_score"),
+        average_of_sums("review", "review_n").alias("avg_review_score"),
         F.try_divide("on_time", "on_time_n").alias("on_time_delivery_rate"),
         F.try_divide("repeaters", "person_groups").alias("repeat_customer_rate"),
     )
