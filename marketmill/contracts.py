@@ -65,6 +65,12 @@ RAW_COLUMNS: dict[str, dict[str, str]] = {
     },
 }
 
+# Raw money: at most four decimals, which is what sums are exact in.
+RAW_MONEY: dict[str, tuple[str, ...]] = {
+    "raw_order_items": ("price", "freight_value"),
+    "raw_order_payments": ("payment_value",),
+}
+
 # Where landing keeps the text of a CSV row with too few or too many fields.
 DAMAGED = "_damaged"
 

@@ -55,3 +55,15 @@ def row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
 
 def preview(df: DataFrame, rows: int = 5) -> DataFrame:
     return df.limit(rows)
+
+
+def previews(tables: Mapping[str, DataFrame], rows: int = 5) -> DataFrame:
+    """A few rows of every table as JSON text, nulls included, for a look at the data."""
+    shown = F.to_json(F.struct("*"), {"ignoreNullFields": "false"})
+    return reduce(
+        DataFrame.unionByName,
+        [
+            preview(df, rows).select(F.lit(name).alias("table_name"), shown.alias("row"))
+            for name, df in tables.items()
+        ],
+    )

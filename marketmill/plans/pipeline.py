@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marketmill.marts import QUERIES, Limits, Marts
+from marketmill.operators.profile import previews
 from marketmill.plans import quality
 from marketmill.plans.kpis import DELIVERED
 from marketmill.sinks import publish, reports, star_files
@@ -103,6 +104,7 @@ def run_pipeline(
     raw = raw_files.land_raw(spark, source, prefix, f"{root}/raw")
     # Rows that cannot be read as what they should be end the run before a cast does.
     reports.write_section(quality.raw_findings(raw), root, "raw_report")
+    reports.write_section(previews(raw), root, "raw_preview")
     intact = spark.read.json(f"{root}/raw_report")
     if not intact.where("not passed").isEmpty():
         return Run(version, False, _audit(spark, intact, root), {})
@@ -132,6 +134,23 @@ def _publishable(spark: SparkSession, root: str) -> bool:
     return bool(spark.read.json(f"{root}/dq_gate").first().publishable)
 
 
+def gate_history(spark: SparkSession, lake: str) -> DataFrame:
+    """The gate's figures of every build, published or not, by version: version, checks,
+    critical_failures, warnings, publishable, checked_at, published. Builds that ended before their
+    audit have none."""
+    figures = "checks bigint, critical_failures bigint, warnings bigint, publishable boolean, checked_at timestamp"
+    folder = F.regexp_extract(F.col("_metadata.file_path"), "/versions/([^/]+)/dq_gate/", 1)
+    published = publish.log(spark, lake).select("version", F.lit(True).alias("published")).distinct()
+    return (
+        spark.read.schema(figures)
+        .json(f"{lake}/versions/*/dq_gate")
+        .select(folder.alias("version"), "*")
+        .join(published, "version", "left")
+        .withColumn("published", F.coalesce("published", F.lit(False)))
+        .orderBy("version")
+    )
+
+
 def require_published(run: Run) -> Run:
     """Raise, naming the failed checks, unless the run was published."""
     if not run.published:

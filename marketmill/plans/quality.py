@@ -9,7 +9,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marketmill.contracts import DAMAGED, RAW_COLUMNS, STAR_KEYS
+from marketmill.contracts import DAMAGED, RAW_COLUMNS, RAW_MONEY, STAR_KEYS
+from marketmill.functions import fits_minor
 
 
 @dataclass(frozen=True)
@@ -335,7 +336,8 @@ def _report(parts: list[DataFrame]) -> DataFrame:
 
 def raw_findings(raw: Mapping[str, DataFrame]) -> DataFrame:
     """One critical row per raw table: rows that the reader marked as damaged (too few or too
-    many fields) and rows with a value that its column's type cannot take."""
+    many fields), rows with a value that its column's type cannot take, and rows with money finer
+    than sums can hold."""
     parts = []
     for table, columns in RAW_COLUMNS.items():
         if table not in raw:
@@ -349,6 +351,8 @@ def raw_findings(raw: Mapping[str, DataFrame]) -> DataFrame:
         ]
         if DAMAGED in found:
             broken.append(F.col(DAMAGED).isNotNull())
+        for c in RAW_MONEY.get(table, ()):
+            broken.append(~fits_minor(F.col(c).try_cast("double")))
         rule = Rule(f"{table}_rows_intact", table, (), "damaged or uncastable rows")
         broken_row = reduce(Column.__or__, broken, F.lit(False))
         counted = df.agg(F.count_if(broken_row).alias("n"))

@@ -14,7 +14,7 @@ import uuid
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 LOG = "number bigint, version string, previous string, published_at timestamp"
@@ -36,14 +36,18 @@ def version_root(lake: str, version: str) -> str:
     return f"{lake}/versions/{version}"
 
 
-def newest(spark: SparkSession, lake: str) -> Entry:
+def log(spark: SparkSession, lake: str) -> DataFrame:
+    """All entries; none before the first publication."""
     try:
-        log = spark.read.schema(LOG).json(f"{lake}/published")
+        return spark.read.schema(LOG).json(f"{lake}/published")
     except AnalysisException as reason:
         if reason.getCondition() != "PATH_NOT_FOUND":
             raise
-        return Entry()
-    last = log.agg(F.max(F.struct("number", "version")).alias("last")).first()["last"]
+        return spark.createDataFrame([], LOG)
+
+
+def newest(spark: SparkSession, lake: str) -> Entry:
+    last = log(spark, lake).agg(F.max(F.struct("number", "version")).alias("last")).first()["last"]
     return Entry(last["number"], last["version"]) if last else Entry()
 
 
@@ -91,5 +95,4 @@ def current_version(spark: SparkSession, lake: str) -> str | None:
 
 def history(spark: SparkSession, lake: str) -> list[str]:
     """All published versions, oldest first: one short row per publication."""
-    log = spark.read.schema(LOG).json(f"{lake}/published")
-    return [r.version for r in log.orderBy("number").select("version").collect()]
+    return [r.version for r in log(spark, lake).orderBy("number").select("version").collect()]

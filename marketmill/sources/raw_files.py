@@ -102,6 +102,10 @@ def _checked(df: DataFrame, file: RawFile) -> DataFrame:
 
 def read_raw(spark: SparkSession, folder: str, prefix: str) -> dict[str, DataFrame]:
     """The raw tables the star needs, lazily, straight from CSV."""
+    return {t: df.drop(LANDED_FROM) for t, df in _raw_files(spark, folder, prefix).items()}
+
+
+def _raw_files(spark: SparkSession, folder: str, prefix: str) -> dict[str, DataFrame]:
     require_files(spark, folder, prefix)
     return {
         table: _checked(_read_file(spark, f"{folder}/{file.file_name(prefix)}", file), file)
@@ -126,7 +130,7 @@ def land_raw(
     CSV is then parsed once only, and later steps read pruned columns of splittable files.
     """
     landed = {}
-    for table, df in read_raw(spark, folder, prefix).items():
+    for table, df in _raw_files(spark, folder, prefix).items():
         path = f"{target}/{table}"
         origin = [] if LANDED_FROM in df.columns else [F.col("_metadata.file_path").alias(LANDED_FROM)]
         stamped = df.select("*", *origin, F.current_timestamp().alias(LANDED_AT))

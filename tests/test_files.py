@@ -2,6 +2,7 @@
 
 import csv
 import json
+from collections import Counter
 from pathlib import Path
 
 import pytest
@@ -174,6 +175,13 @@ def test_bad_build_is_not_published(spark, tmp_path):
         pipeline.require_published(bad)
     assert "fact_order_items_fk_order" in str(failed.value)
     assert "fact_order_items_non_negative_money" in str(failed.value)
+    history = {r.version: r for r in pipeline.gate_history(spark, lake).collect()}
+    assert set(history) == {good.version, bad.version}
+    assert history[good.version].published and history[good.version].critical_failures == 0
+    assert not history[bad.version].published and history[bad.version].critical_failures == 2
+    shown = json_rows(f"{publish.version_root(lake, bad.version)}/raw_preview")
+    assert {r["table_name"] for r in shown} == set(RAW_COLUMNS)
+    assert max(Counter(r["table_name"] for r in shown).values()) == 5
 
 
 def test_rejected_build_changes_no_report(spark, tmp_path):
@@ -198,6 +206,17 @@ def test_rejected_build_changes_no_report(spark, tmp_path):
     assert every_section() == before
 
 
+def test_too_fine_money_is_reported_with_table_and_count(spark, tmp_path):
+    source, lake = tmp_path / "src", str(tmp_path / "lake")
+    source.mkdir()
+    items = raw_fixture.ITEMS + [("o01", 9, "p1", "s1", "2017-01-09 00:00:00", "1.00005", "0")] * 2
+    raw_fixture.write(source, order_items=items)
+    run = pipeline.run_pipeline(spark, str(source), lake, PREFIX)
+    assert not run.published
+    with pytest.raises(pipeline.QualityGateFailed, match="raw_order_items_rows_intact: .*: 2"):
+        pipeline.require_published(run)
+
+
 def test_damaged_rows_are_not_published(spark, tmp_path):
     source, lake = tmp_path / "src", str(tmp_path / "lake")
     source.mkdir()
