@@ -43,8 +43,9 @@ BANDS = 32
 ROWS = 4
 BATCH = 32
 MISS = 1e-5
-BLOCK = 256
-CHUNK = 1024
+MEMBER_BYTES = 1024  # of a member of a block, besides its set
+BLOCK_BYTES = 2 << 20
+CHUNK_BYTES = 8 << 20
 BROADCAST_IDS = 200_000
 
 _RANDOM = np.random.default_rng(5)
@@ -250,20 +251,23 @@ def _similar(one: np.ndarray, other: np.ndarray) -> bool:
 def _across(members: DataFrame, nodes: DataFrame, classes: DataFrame, texts: DataFrame) -> DataFrame:
     """Links (a, b) between texts of one bucket that are in different classes. Pairs with the
     bucket's center are done already. The members outside the bucket's first class, in blocks,
-    meet all of its members, in chunks; both have a bounded expected size.
+    meet all of its members, in chunks; both have a bounded expected size in bytes, sets included,
+    so that long texts meet in smaller numbers.
 
     A pair that shares several buckets is looked at in the one of its first common band only.
     Pairs that outlast the batches of their signatures are verified on their full sets at once,
     and a block hands on a link only if it joins what was apart: no more rows than members, however
     many pairs are alike, or nearly so."""
+    size = F.lit(MEMBER_BYTES) + F.col("n_shingles") * 8
     labelled = (
         members.where("id <> center")
+        .join(nodes.select("id", size.alias("bytes")), "id")
         .join(classes, "id", "left")
-        .select("bucket", "id", F.coalesce("component", "id").alias("class"))
+        .select("bucket", "id", "bytes", F.coalesce("component", "id").alias("class"))
     )
     open_ = (
         labelled.groupBy("bucket", "class")
-        .agg(F.count("*").alias("n"))
+        .agg(F.sum("bytes").alias("n"))
         .groupBy("bucket")
         .agg(
             F.min("class").alias("first"),
@@ -275,11 +279,11 @@ def _across(members: DataFrame, nodes: DataFrame, classes: DataFrame, texts: Dat
         .select(
             "bucket",
             "first",
-            F.ceil(F.col("n") / CHUNK).cast("int").alias("chunks"),
-            F.ceil((F.col("n") - F.col("n_first")) / BLOCK).cast("int").alias("blocks"),
+            F.ceil(F.col("n") / CHUNK_BYTES).cast("int").alias("chunks"),
+            F.ceil((F.col("n") - F.col("n_first")) / BLOCK_BYTES).cast("int").alias("blocks"),
         )
     )
-    rows = settle(labelled.join(open_, "bucket"))
+    rows = settle(labelled.drop("bytes").join(open_, "bucket"))
     sets = _sets(rows.select("id"), texts).join(nodes.select("id", "signature", "bands"), "id")
     slot = lambda n, salt: F.pmod(F.xxhash64("id", F.lit(salt)), F.col(n)).cast("int")
     each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
