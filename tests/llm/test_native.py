@@ -1,9 +1,11 @@
 """The four operators in plain DataFrame functions against their contracts."""
 
+import math
 from collections import defaultdict
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 from marketmill.llm import mixing, pii, quality, url_rules
 from tests.llm import brute, fixtures
@@ -234,3 +236,42 @@ def test_native_plans_hold_no_python(spark):
 def test_word_count_in_sql():
     found = duckdb.sql(r"select len(regexp_extract_all('a b\tc  é', '[^\x20\x09-\x0D]+'))")
     assert found.fetchall() == [(3,)]
+
+
+def test_quality_counts_and_threshold_cover_all_trusted_documents(spark):
+    """More trusted documents than any sample the fit ever took; ids close together and far apart."""
+    n, buckets = 24_000, 64
+    words = F.concat_ws(" ", *[F.concat(F.lit("w"), F.pmod(F.xxhash64("id", F.lit(k)), F.lit(37)))
+                               for k in range(51)])
+    for far in (1, 1 << 40):
+        df = spark.range(n).select((F.col("id") * far - 5).alias("doc_id"), words.alias("text"))
+        df = df.union(df.limit(40)).union(spark.createDataFrame([(None, "w1 w2")], "doc_id long, text string"))
+        lab = spark.range(n).select((F.col("id") * far - 5).alias("doc_id"), F.lit(1).alias("quality"))
+        lab = lab.where(F.pmod(F.xxhash64("doc_id"), F.lit(12)) > 0)
+        weights = quality.fit(df, lab, buckets)
+        hashed = quality._hashes(df, "doc_id", "text")
+        good = F.col("trusted_id").isNotNull().cast("long")
+        ids = lab.select(F.col("doc_id").alias("trusted_id"))
+        counted = (
+            hashed.join(ids, F.col("doc_id") == F.col("trusted_id"), "left")
+            .select(good.alias("t"), F.explode(quality._features(F.col("hashes"), buckets)).alias("b"))
+            .groupBy("b").agg(F.count("*").alias("raw"), F.sum("t").alias("good")).collect()
+        )
+        assert sum(r["good"] for r in counted) > 20_000 * 101
+        shift = math.log((sum(r["raw"] for r in counted) + buckets) / (sum(r["good"] for r in counted) + buckets))
+        for r in counted:
+            assert weights[r["b"]] == math.log((r["good"] + 1) / (r["raw"] + 1)) + shift
+        rows = quality.judged(df, lab, buckets).cache()
+        of_good = rows.join(ids, F.col("doc_id") == F.col("trusted_id")).where("n_words >= 50")
+        low, mid = of_good.agg(F.percentile("score", F.array(F.lit(0.005), F.lit(0.5)))).first()[0]
+        assert quality.threshold(rows, lab) == 2 * low - mid
+        assert rows.where((F.col("score") >= 2 * low - mid) != F.col("kept")).where("not base_failed").count() == 0
+
+
+def test_quantiles_are_those_of_all_rows(spark):
+    shares = (0.0, 0.005, 0.25, 0.5, 0.999, 1.0)
+    for values in ([2.5], [1.0, 2.0], [0.5] * 7 + [3.0], [k * k % 101 / 7 for k in range(999)]):
+        df = spark.createDataFrame([(v,) for v in values], "v double")
+        want = df.agg(F.percentile("v", F.array(*[F.lit(s) for s in shares]))).first()[0]
+        assert quality.quantiles(df, "v", shares) == want
+    assert quality.quantiles(df.limit(0), "v", shares) is None
