@@ -66,3 +66,40 @@ def test_empty_table_and_null_ids(spark):
     df = spark.createDataFrame(rows, "doc_id long, text string")
     got = {r["doc_id"]: r["n_removed"] for r in repeats.digest(repeats.cut(df)).collect()}
     assert got == {None: 60, 1: 0}
+
+
+@pytest.mark.parametrize("group_bytes,part_rows", [(300, 20), (3_000, 1 << 22), (1 << 23, 1 << 22)])
+def test_repeats_across_groups(spark, group_bytes, part_rows):
+    """Groups of few texts; ids with more text than a group takes, equal ids and null ids."""
+    texts = passages()
+    r = random.Random(4)
+    ids = [r.choice([None, 7, 7, (1 << 62) + k, -k, k]) for k in range(len(texts))]
+    df = spark.createDataFrame(list(zip(ids, texts)), "doc_id long, text string")
+    cut = repeats.cut(df, group_bytes=group_bytes, part_rows=part_rows)
+    last = (1 << 63) - 1
+    strings = {}
+    for i, t in zip(ids, texts):
+        data = (t or "").encode()
+        for k in range(len(data) - 49):
+            s = data[k : k + 50]
+            strings[s] = min(strings.get(s, last), last if i is None else i)
+    want = []
+    for i, t in zip(ids, texts):
+        data = (t or "").encode()
+        gone = bytearray(len(data))
+        for k in range(len(data) - 49):
+            if strings[data[k : k + 50]] < (last if i is None else i):
+                gone[k : k + 50] = b"\1" * 50
+        want.append((str(i), bytes(b for b, g in zip(data, gone) if not g)))
+    got = [(str(r["doc_id"]), bytes(r["kept"])) for r in cut.collect()]
+    assert sorted(got) == sorted(want)
+
+
+def test_blocks_are_small():
+    """Hashes go to the exchange as compressed differences, without the ids of their documents."""
+    import numpy as np
+
+    keys = np.sort(np.random.default_rng(1).integers(0, 1 << 37, 75_000, dtype=np.int64))
+    blocks = repeats._blocks(3, 1, keys)
+    assert (repeats._decoded(blocks["keys"][0]).view(np.int64) == keys).all()
+    assert len(blocks["keys"][0]) < 4 * len(keys)
