@@ -77,21 +77,33 @@ class WordTokens(dict):
         shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
         hidden = [b for b in range(256) if b not in set(shown)]
         self._stand_ins = {b: 256 + k for k, b in enumerate(hidden)}
+        self._space = " ".translate(self._stand_ins)
+        self._stops = {stop: self._bpe(stop) for stop in _STOPS}
 
     def __missing__(self, word: str) -> bytes:
-        if word[-1:] in _STOPS and word[:-1].isalpha():
-            return self[word[:-1]] + self._piece(word[-1])
-        if not word or word[0].isspace() or word[-1].isspace():
-            raise _Uneven
+        stop = self._stops.get(word[-1:])
+        if stop is not None and (plain := word[:-1]).isalpha():
+            return self[plain] + stop
         ids = self._old.get(word)
         if ids is None:
-            ids = self._bpe(" " + word) if word.isalpha() else self._cut_ids(" " + word)
+            if word.isalpha():
+                ids = self._ascii(word) if word.isascii() else self._bpe(" " + word)
+            elif not word or word[0].isspace() or word[-1].isspace():
+                raise _Uneven
+            else:
+                ids = self._cut_ids(" " + word)
+                if "\n" in word:  # two words and the line's end, hardly met again
+                    return ids
         if len(self) >= self._limit:
             self._old = dict(self)
             self.clear()
         self[word] = ids
         return ids
 
+    def _ascii(self, word: str) -> bytes:
+        """Of a space and ASCII letters, which stand for themselves."""
+        return array("I", [t.id for t in self._model.tokenize(self._space + word)]).tobytes()
+
     def _bpe(self, piece: str) -> bytes:
         plain = piece.encode().decode("latin-1").translate(self._stand_ins)
         return array("I", [t.id for t in self._model.tokenize(plain)]).tobytes()

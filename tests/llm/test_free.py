@@ -286,3 +286,16 @@ def test_empty_tables(spark):
     assert nearest.searched(vectors(spark).limit(0)).count() == 0
     assert licence_scan.scanned(none).count() == 0
     assert packing.packed(none).count() == 0
+
+
+def test_words_are_cut_once_and_pairs_over_lines_are_not_kept():
+    """Plain words and their stops take no detour by the byte table; what spans a line is not kept."""
+    import public_tokenizers
+
+    words, encode = packing.WordTokens(public_tokenizers.path(packing.TOKENIZER)), tokenizer()
+    cut = []
+    words._bpe = lambda piece, bpe=words._bpe: cut.append(piece) or bpe(piece)
+    text = "So plain words, stops. and lines.\nNext plain words! Then café, café.\nSo"
+    assert np.frombuffer(words.ids(text), "<u4").tolist() == encode(text)[:-1]
+    assert " words" not in cut and "," not in cut and " caf\u00e9" in cut
+    assert "plain" in words and not any("\n" in word for word in words)
