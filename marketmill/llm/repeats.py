@@ -141,7 +141,7 @@ def _parsed(frame: pd.DataFrame, beside: bool = False) -> list[tuple]:
         places, own = triggers(hashes, len(data))
         _, _, phrase = phrases(hashes, places, len(data))
         side = sides(hashes, places, phrase, len(data)) if beside else none
-        found.append((doc_id, data, places.astype(np.int32), own, phrase, side))
+        found.append((doc_id, data, places, own, phrase, side))
     return found
 
 
@@ -162,7 +162,7 @@ def _firsts(*keys: np.ndarray) -> np.ndarray:
 
 
 def _parts(values: np.ndarray, parts: int) -> np.ndarray:
-    return (values.view(np.uint64) % np.uint64(parts)).view(np.int64)
+    return (values.view(np.uint64) % np.uint64(parts)).astype(np.int16 if parts < 1 << 15 else np.int64)
 
 
 def _coded(values: np.ndarray) -> bytes:
@@ -192,6 +192,37 @@ def _said(replies: pd.DataFrame, step: str, n: int) -> np.ndarray:
     return np.concatenate([np.empty(0, np.uint8), *bits]).astype(bool)[:n]
 
 
+class _Distinct:
+    """Distinct values of a group's rows, in order: the smallest and largest id of each, one of its
+    rows, and of each row which value it has."""
+
+    def __init__(self, values: np.ndarray, ids: np.ndarray):
+        order = np.argsort(values)
+        values, ids = values[order], ids[order]
+        new = _firsts(values)
+        at = np.flatnonzero(new)
+        self.values, self.row = values[at], order[at]
+        self.least = np.minimum.reduceat(ids, at) if len(at) else ids
+        self.most = np.maximum.reduceat(ids, at) if len(at) else ids
+        self.of = np.empty(len(order), np.int64)
+        self.of[order] = np.cumsum(new) - 1
+
+    def send(self, keys: np.ndarray, parts: int) -> np.ndarray:
+        """Sets the order in which the values are sent: by part of their keys, then by key."""
+        if keys is not self.values:
+            by_key = np.argsort(keys, kind="stable")
+        else:
+            by_key = np.arange(len(keys))
+        self.order = by_key[np.argsort(_parts(keys[by_key], parts), kind="stable")]
+        return keys[self.order]
+
+    def told(self, bits: np.ndarray) -> np.ndarray:
+        """The bits in the order of the values."""
+        found = np.empty(len(bits), bool)
+        found[self.order] = bits
+        return found
+
+
 class _Group:
     """The texts of a group with what its replies say so far. Whatever a step sends is in an order
     that the next step finds again: by part, then by hash."""
@@ -199,74 +230,60 @@ class _Group:
     def __init__(self, frame: pd.DataFrame, parts: int, beside: bool = False):
         self.parts, self.docs = parts, _parsed(frame, beside)
         self._ids = [d[0] for d in self.docs]
-        values, ids = _with_ids(self._ids, [d[3] for d in self.docs])
-        order = np.lexsort((ids, values, _parts(values, parts)))
-        values, ids = values[order], ids[order]
-        new = _firsts(values)
-        at = np.flatnonzero(new)
-        self.triggers = values[new]
-        last = np.r_[at[1:], len(ids)] - 1
-        self._several = ids[at] < ids[last] if len(at) else np.empty(0, bool)
+        own, ids = _with_ids(self._ids, [d[3] for d in self.docs])
+        self._own, self._row_ids = own, ids
+        self._found = _Distinct(own, ids)
+        self.triggers = self._found.send(self._found.values, parts)
 
     def see_triggers(self, replies: pd.DataFrame) -> None:
         """Finds the dictionary entries: phrases of triggers of two documents or more."""
-        shared = np.sort(self.triggers[self._several | _said(replies, "triggers", len(self.triggers))])
-        self.kept = []  # of each text, which places are of shared triggers
-        for _, _, _, own, _, _ in self.docs:
-            self.kept.append(_member(own, shared))
-        own, ids = _with_ids(self._ids, [d[3][k] for d, k in zip(self.docs, self.kept)])
-        phrase = _each([d[4][k] for d, k in zip(self.docs, self.kept)])
-        order = np.lexsort((ids, phrase, own, _parts(own, self.parts)))
-        own, phrase, ids = own[order], phrase[order], ids[order]
-        new = _firsts(own, phrase)
-        self.own, self.phrase, self.first = own[new], phrase[new], ids[new]
+        found = self._found
+        several = found.told(_said(replies, "triggers", len(found.values)))
+        shared = (several | (found.least < found.most))[found.of]
+        self._ends = np.cumsum([0] + [len(d[3]) for d in self.docs])
+        self._ends = np.r_[0, np.cumsum(shared)][self._ends]
+        self._own, self._row_ids = self._own[shared], self._row_ids[shared]
+        self._places = np.concatenate([np.empty(0, np.int64), *[d[2] for d in self.docs]])[shared]
+        self._phrase = _Distinct(_each([d[4] for d in self.docs])[shared], self._row_ids)
+        self.own = self._phrase.send(self._own[self._phrase.row], self.parts)
+        self.phrase = self._phrase.values[self._phrase.order]
         if any(len(d[5]) for d in self.docs):
-            self.sides = _each([d[5][k] for d, k in zip(self.docs, self.kept)])[order][new]
+            self.sides = _each([d[5] for d in self.docs])[shared][self._phrase.row][self._phrase.order]
 
     def see_phrases(self, replies: pd.DataFrame) -> None:
         """Finds the strings to look into, of each text: those of phrases it is the first to have,
         and which are like another phrase of their trigger on one side."""
-        n = len(self.phrase)
-        earlier, alike = _said(replies, "earlier", n), _said(replies, "alike", n)
-        order = np.argsort(self.phrase, kind="stable")
-        known = self.phrase[order]
-        first = np.where(earlier, np.iinfo(np.int64).min, self.first)[order]
-        alike = alike[order]
-        self.whole, self.at, self.strings = [], [], []
-        for (doc_id, data, places, _, phrase, _), kept in zip(self.docs, self.kept):
-            at = np.searchsorted(known, phrase[kept])
-            whole = first[at] < doc_id
-            inside = alike[at] & ~whole
-            shared = places[kept].astype(np.int64)
-            self.whole.append(shared[whole])
-            starts, strings = np.empty(0, np.int64), np.empty(0, np.int64)
-            if inside.any():
-                starts = _inside(shared[inside], len(data))
-                strings = _strings(Hashes(data), starts)
+        found, n = self._phrase, len(self._phrase.values)
+        earlier = found.told(_said(replies, "earlier", n))[found.of]
+        alike = found.told(_said(replies, "alike", n))[found.of]
+        whole = earlier | (found.least[found.of] < self._row_ids)
+        inside = alike & ~whole
+        self.whole, self.at, strings = [], [], []
+        for (_, data, *_), a, b in zip(self.docs, self._ends, self._ends[1:]):
+            self.whole.append(self._places[a:b][whole[a:b]])
+            places = self._places[a:b][inside[a:b]]
+            starts = own = np.empty(0, np.int64)
+            if len(places):
+                starts = _inside(places, len(data))
+                own = _strings(Hashes(data), starts)
             self.at.append(starts)
-            self.strings.append(strings)
-        values, ids = _with_ids(self._ids, self.strings)
-        order = np.lexsort((ids, values, _parts(values, self.parts)))
-        values, ids = values[order], ids[order]
-        new = _firsts(values)
-        self.string, self.string_first = values[new], ids[new]
+            strings.append(own)
+        values, self._string_ids = _with_ids(self._ids, strings)
+        self._string = _Distinct(values, self._string_ids)
+        self.string = self._string.send(self._string.values, self.parts)
 
     def cut(self, replies: pd.DataFrame) -> pd.DataFrame:
         """(doc_id, n_bytes, starts, ends, kept) by the spans to remove."""
-        earlier = _said(replies, "strings", len(self.string))
-        order = np.argsort(self.string, kind="stable")
-        known = self.string[order]
-        first = np.where(earlier, np.iinfo(np.int64).min, self.string_first)[order]
-        rows = []
-        for (doc_id, data, *_), whole, at, strings in zip(self.docs, self.whole, self.at, self.strings):
+        found = self._string
+        earlier = found.told(_said(replies, "strings", len(found.values)))[found.of]
+        again = earlier | (found.least[found.of] < self._string_ids)
+        rows, a = [], 0
+        for (doc_id, data, *_), whole, at in zip(self.docs, self.whole, self.at):
             n, starts, ends, kept = len(data), [], [], data
-            at = at[first[np.searchsorted(known, strings)] < doc_id]
+            at, a = at[again[a : a + len(at)]], a + len(at)
             if len(whole) or len(at):
-                mark = np.zeros(n + 1, np.int64)
-                np.add.at(mark, np.maximum(whole - REACH, 0), 1)
-                np.add.at(mark, np.minimum(whole + WIDTH, n), -1)
-                np.add.at(mark, at, 1)
-                np.add.at(mark, at + WIDTH, -1)
+                mark = np.bincount(np.r_[np.maximum(whole - REACH, 0), at], minlength=n + 1)
+                mark -= np.bincount(np.r_[np.minimum(whole + WIDTH, n), at + WIDTH], minlength=n + 1)
                 gone = np.cumsum(mark)[:-1] > 0
                 edges = np.flatnonzero(np.diff(np.r_[False, gone, False].astype(np.int8)))
                 starts, ends = edges[::2].tolist(), edges[1::2].tolist()
@@ -275,18 +292,10 @@ class _Group:
         return pd.DataFrame(rows, columns=["doc_id", "n_bytes", "starts", "ends", "kept"])
 
 
-def _member(values: np.ndarray, of: np.ndarray) -> np.ndarray:
-    """Which values are among the others, which are in order."""
-    if not len(of):
-        return np.zeros(len(values), bool)
-    return of[np.minimum(np.searchsorted(of, values), len(of) - 1)] == values
-
-
 def _inside(places: np.ndarray, n: int) -> np.ndarray:
     """Starts of the strings that lie in the phrases of triggers at these places."""
-    mark = np.zeros(n + 1, np.int64)
-    np.add.at(mark, np.maximum(places - REACH, 0), 1)
-    np.add.at(mark, np.minimum(places + WIDTH, n) - WIDTH + 1, -1)
+    mark = np.bincount(np.maximum(places - REACH, 0), minlength=n + 1)
+    mark -= np.bincount(np.minimum(places + WIDTH, n) - WIDTH + 1, minlength=n + 1)
     return np.flatnonzero(np.cumsum(mark)[:-1] > 0)
 
 
