@@ -213,12 +213,12 @@ def _sets(ids: DataFrame, texts: DataFrame) -> DataFrame:
 def _links(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     """The pairs (a, b) that are similar enough on their full sets."""
     pairs = settle(pairs)
-    sets = _sets(pairs.select(F.col("a").alias("id")).union(pairs.select("b")), docs)
+    sets = _sets(pairs.select(F.explode(F.array("a", "b")).alias("id")), docs)
     of = lambda end: sets.toDF(end, f"of_{end}")
     joined = pairs.join(of("b"), "b").join(of("a"), "a")
     common = F.size(F.array_intersect("of_a", "of_b"))
     either = F.size("of_a") + F.size("of_b") - common
-    return settle(joined.where(common.cast("long") * 100 >= either.cast("long") * PERCENT).select("a", "b"))
+    return joined.where(common.cast("long") * 100 >= either.cast("long") * PERCENT).select("a", "b")
 
 
 class _Groups:

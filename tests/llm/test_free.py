@@ -5,6 +5,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 
+from marketmill.llm import components as components_module
 from marketmill.llm import licence_scan, near_dup, nearest, packing, toxicity
 from marketmill.llm.components import components
 from tests.llm import brute, fixtures
@@ -78,6 +79,31 @@ def test_components(spark):
     assert got == {i: 1 for i in range(2, 41)} | {100: 90, 95: 90}
 
 
+@pytest.mark.parametrize("task_edges", [100_000, 16])
+def test_components_have_the_tasks_their_edges_need(spark, monkeypatch, task_edges):
+    monkeypatch.setattr(components_module, "TASK_EDGES", task_edges)
+    edges = [(i, i + 1) for i in range(1, 40)] + [(100, 90), (90, 95), (7, 7)]
+    held = {"spark.sql.shuffle.partitions": "60", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in held}
+    context, tracker = spark.sparkContext, spark.sparkContext.statusTracker()
+    try:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+        context.setJobGroup(f"components-{task_edges}", "")
+        found = components(spark.createDataFrame(edges, "a long, b long").repartition(60))
+        jobs = [tracker.getJobInfo(j) for j in tracker.getJobIdsForGroup(f"components-{task_edges}")]
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert dict(found.collect()) == {i: 1 for i in range(2, 41)} | {100: 90, 95: 90}
+    stages = [tracker.getStageInfo(s) for s in {s for j in jobs for s in j.stageIds}]
+    tasks = sum(s.numCompletedTasks for s in stages if s)
+    if task_edges > len(edges):  # only the edges as they came have a task for each partition
+        assert found.rdd.getNumPartitions() == 1
+        assert tasks < 6 * 60
+
+
 def test_without_copies_keeps_one_of_each_class(spark):
     df = fixtures.small(spark)
     out = near_dup.without_copies(df)
